@@ -1 +1,62 @@
-QUERIES = []
+"""Recommendation serving as batch jobs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pasarlens import fixtures as fx
+from pasarlens.operators import joins as J
+from pasarlens.operators.aggregates import interaction_matrix, matrix_stats
+from pasarlens.operators.recommend import answer_requests, parse_requests, recommendation_lists
+from pasarlens.registry.aggregates import STACKED, STATS, pairs
+from pasarlens.registry.base import REQ, UI, Query, ask
+from pasarlens.registry.joins import best_products
+from pasarlens.registry.tables import UI_AGG
+from pasarlens.session import stage
+
+
+def serve_requests(spark, folder):
+    """Requests answered from lists as deep as the largest n that was asked for."""
+    asked = fx.requests(spark, folder)
+    depth = parse_requests(asked).agg(F.max("n")).first()[0] or 1
+    lists = recommendation_lists(best_products(spark, folder, depth))
+    answers = answer_requests(asked, stage(lists, "lists"), fx.EVENTS_AS_OF)
+    return answers.select("request_id", "status", "response")
+
+
+def user_interactions_list(spark, folder):
+    return J.user_history(fx.user_interactions(spark, folder))
+
+
+SERVED = """lists as (
+  select user_id, list(product_id order by rank) as products from (
+    select user_id, product_id, row_number() over (partition by user_id
+      order by coalesce(total_implicit_score, 0) desc, n_interactions desc, product_id) as rank from ui_agg)
+  group by user_id)
+select request_id, status, case when status = 200 then
+    '{"user_id":"' || o.user_id || '","recommendations":['
+      || coalesce(array_to_string(products[1:n], ','), '') || '],"timestamp":"2024-02-01T00:00:00Z"}'
+  else '{"error":"' || error || '"}' end as response
+from opened o left join lists l on o.user_id = cast(l.user_id as varchar)"""
+
+QUERIES = [
+    Query("serve_requests", serve_requests, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
+    Query(
+        "list_users",
+        lambda s, d: J.ids_with_total(fx.user_interactions(s, d), "user_id"),
+        ask(UI, then="select user_id, count(*) over () as total from (select distinct user_id from user_interactions)"),
+    ),
+    Query(
+        "list_products",
+        lambda s, d: J.ids_with_total(fx.user_interactions(s, d), "product_id"),
+        ask(UI, then="""select product_id, count(*) over () as total
+                        from (select distinct product_id from user_interactions)"""),
+    ),
+    Query(
+        "user_interaction_history",
+        user_interactions_list,
+        ask(UI, then="""select user_id, product_id, count(*) over (partition by user_id) as total_interactions
+                        from (select distinct user_id, product_id from user_interactions)"""),
+    ),
+    Query("recommender_stats", lambda s, d: matrix_stats(interaction_matrix(pairs(s, d))), ask(STACKED, then=STATS)),
+]

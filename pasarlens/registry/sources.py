@@ -1 +1,157 @@
-QUERIES = []
+"""Reading, writing, storing and reading back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pasarlens import fixtures as fx
+from pasarlens.functions import features as X
+from pasarlens.operators.aggregates import interaction_matrix
+from pasarlens.operators.joins import union_pairs
+from pasarlens.operators.prep import encode_ids
+from pasarlens.plans import etl
+from pasarlens.registry.base import PC, PR, SL, TH, UI, UP, Query, ask
+from pasarlens.session import staging_path
+from pasarlens.sources import csv, recs_store, sinks, tables
+from pasarlens.streaming.ingest import ingest_new
+
+CAP = 500
+
+
+def scan_catalog(spark, folder):
+    fx.table(spark, folder, "orders").createOrReplaceTempView("catalog_orders")
+    return tables.dataset_summary({"catalog_orders": tables.read_table(spark, "catalog_orders")})
+
+
+def _orders_as_csv(spark, folder):
+    orders = fx.table(spark, folder, "orders")
+    path = staging_path(spark, "csv")
+    orders.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.option(
+        "header", True
+    ).csv(path)
+    return path, orders.schema
+
+
+def scan_csv_parts(spark, folder):
+    path, schema = _orders_as_csv(spark, folder)
+    return csv.read_csv_parts(spark, path, schema)
+
+
+def row_cap(spark, folder):
+    path, schema = _orders_as_csv(spark, folder)
+    return csv.read_csv_parts(spark, path, schema, nrows=CAP)
+
+
+def scan_parquet_pruned(spark, folder):
+    return tables.read_parquet(spark, f"{folder}/lineitem.parquet", ["l_orderkey", "l_partkey"])
+
+
+def dataset_summary(spark, folder):
+    return tables.dataset_summary({name: getattr(fx, name)(spark, folder) for name in etl.JOBS})
+
+
+def sink_partitioned(spark, folder):
+    path = staging_path(spark, "sink")
+    rows = fx.user_interactions(spark, folder).withColumns(X.calendar("timestamp", "month"))
+    rule = etl.RULES["user_interactions"]
+    sinks.write_partitioned(rows.drop("implicit_score"), path, rule.folders, rule.tasks)
+    back = spark.read.parquet(path)
+    return back.withColumn("interaction_type", F.col("interaction_type").cast("string"))
+
+
+def incremental_ingest(spark, folder):
+    """Two deliveries of files, three runs: nothing is lost or taken twice."""
+    events = fx.table(spark, folder, "events")
+    source, target, progress = (staging_path(spark, p) for p in ("in", "out", "progress"))
+    for delivery in (0, 1):
+        events.where(F.col("event_id") % 2 == delivery).write.mode("append").parquet(source)
+        ingest_new(spark, source, target, progress, events.schema)
+    ingest_new(spark, source, target, progress, events.schema)
+    return spark.read.schema(events.schema).parquet(target)
+
+
+def recs_upsert(spark, folder):
+    """Every event puts a one-item list for its user, in two batches; the last one stays."""
+    path = staging_path(spark, "recs")
+    events = fx.user_interactions(spark, folder)
+    puts = events.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.array("product_id").alias("recommendations"),
+        "timestamp",
+        "interaction_id",
+    )
+    for batch in (0, 1):
+        mine = puts.where(F.col("interaction_id") % 2 == batch)
+        recs_store.put_recs(mine, path, batch)
+    return recs_store.read_recs(spark, path).withColumn(
+        "recommendations", F.concat_ws(",", F.col("recommendations").cast("array<string>"))
+    )
+
+
+def matrix_persist(spark, folder):
+    pairs = union_pairs(fx.user_interactions(spark, folder), fx.transaction_history(spark, folder))
+    cells = interaction_matrix(pairs)
+    encoded, _ = encode_ids(
+        cells,
+        {"user_id": "user_idx", "product_id": "product_idx"},
+        {"user_id": ["product_id"], "product_id": ["user_id"]},
+    )
+    path = staging_path(spark, "matrix")
+    sinks.write_matrix(encoded, path)
+    return sinks.read_matrix(spark, path)
+
+
+SUMMARY = " union all ".join(
+    f"select '{name}' as table_name, count(*) as n_rows, cast({columns} as int) as n_columns from {name}"
+    for name, columns in (
+        ("user_profiles", 22),
+        ("product_catalog", 20),
+        ("user_interactions", 7),
+        ("transaction_history", 16),
+        ("product_reviews", 9),
+        ("search_logs", 14),
+    )
+)
+
+MATRIX_CELLS = f"""with {UI}, {TH},
+cells as (
+  select user_id, product_id, count(*) as n_events from (
+    select user_id, product_id from user_interactions union all
+    select user_id, product_id from transaction_history)
+  where user_id is not null and product_id is not null group by all)
+select cast(dense_rank() over (order by user_id) - 1 as int) as user_idx,
+       cast(dense_rank() over (order by product_id) - 1 as int) as product_idx, n_events from cells"""
+
+QUERIES = [
+    Query(
+        "scan_catalog",
+        scan_catalog,
+        "select 'catalog_orders' as table_name, count(*) as n_rows, cast(6 as int) as n_columns from orders",
+    ),
+    Query("scan_csv_parts", scan_csv_parts, "select * from orders"),
+    Query("row_cap", row_cap, f"select * from orders order by o_orderkey limit {CAP}"),
+    Query("scan_parquet_pruned", scan_parquet_pruned, "select l_orderkey, l_partkey from lineitem"),
+    Query("dataset_summary", dataset_summary, ask(UP, PC, UI, TH, PR, SL, then=SUMMARY)),
+    Query(
+        "sink_partitioned",
+        sink_partitioned,
+        ask(
+            UI,
+            then="""select * exclude (implicit_score), cast(month("timestamp") as int) as month
+                    from user_interactions""",
+        ),
+    ),
+    Query("incremental_ingest", incremental_ingest, "select * from events"),
+    Query(
+        "recs_upsert",
+        recs_upsert,
+        ask(
+            UI,
+            then="""select cast(user_id as varchar) as user_id, cast(product_id as varchar) as recommendations,
+                    "timestamp" from user_interactions
+                    qualify row_number() over (partition by user_id
+                      order by "timestamp" desc, interaction_id % 2 desc) = 1""",
+        ),
+    ),
+    Query("matrix_persist", matrix_persist, MATRIX_CELLS),
+]

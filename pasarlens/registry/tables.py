@@ -173,9 +173,9 @@ ETL_COUNTS = " union all ".join(
         ("user_profiles", 29, "up"),
         ("product_catalog", 28, "pc"),
         ("user_interactions", 17, "user_interactions"),
-        ("transaction_history", 32, "th"),
-        ("product_reviews", 21, "pr"),
-        ("search_logs", 27, "search_logs"),
+        ("transaction_history", 33, "th"),
+        ("product_reviews", 22, "pr"),
+        ("search_logs", 29, "search_logs"),
         ("user_product_matrix", 16, "ui_agg"),
     )
 )
