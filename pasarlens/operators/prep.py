@@ -260,7 +260,7 @@ def tfidf(
 
 
 @F.udf(VectorUDT())
-def _sparse(size: int, cells: list) -> SparseVector:
+def _sparse(size, cells):
     return SparseVector(size, {c["code"]: c["weight"] for c in cells or []})
 
 
@@ -311,8 +311,8 @@ def nearest_neighbours(
             rows.select(key, point.alias("_point"), place.alias("_at")), ["_at", key], "_place"
         )
         steps = F.array(*[F.lit(s) for s in range(-k, k + 1) if s])
-        wanted = line.select(
-            key, "_point", (F.col("_place") + F.explode(steps)).alias("_place")
+        wanted = line.select(key, "_point", "_place", F.explode(steps).alias("_step")).select(
+            key, "_point", (F.col("_place") + F.col("_step")).alias("_place")
         )
         other = line.select(
             F.col(key).alias("neighbour"), F.col("_point").alias("_other"), "_place"

@@ -1 +1,365 @@
-QUERIES = []
+"""Learning data preparation and training."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from pasarlens import fixtures as fx
+from pasarlens.models import ranker, recommender, tasks, tuning
+from pasarlens.models.tasks import Budget, Result
+from pasarlens.models.tuning import Range
+from pasarlens.operators import prep
+from pasarlens.operators.recommend import recommend, recommend_enriched
+from pasarlens.plans import etl, training
+from pasarlens.registry.base import PR, SL, TH, Query, ask, rnd
+from pasarlens.session import stage, staging_path
+from pasarlens.sources.model_store import read_registry, save_model, saved_models
+
+SEED = 42
+# The registered trainings are short; the defaults of the tasks are the full sizes.
+SHORT = Budget(trees=8, depth=4, step=0.2, sample=0.8, trials=2, folds=3)
+SHORT_SPACE = {"maxIter": Range(4, 8, "int"), "maxDepth": Range(3, 5, "int"), "stepSize": Range(0.05, 0.3, "log")}
+SHORT_ALS = {"rank": 10, "maxIter": 5}
+# The churn label of the test tables is made from this column.
+LABEL_SOURCE = ("days_since_last_purchase",)
+
+
+def report(spark, result: Result):
+    """Metrics of a task as rows."""
+    lines = [(result.name, name, float(v)) for name, v in sorted(result.metrics.items()) if v is not None]
+    return spark.createDataFrame(lines, "task string, metric string, value double")
+
+
+# ------------------------------------------------------------------ inputs
+
+
+def users(spark, folder):
+    return etl.clean_users(fx.user_profiles(spark, folder))
+
+
+def transactions(spark, folder):
+    rows = etl.clean_transactions(fx.transaction_history(spark, folder), fx.TRANSACTION_TIE)
+    from pasarlens.functions.features import calendar
+
+    return rows.withColumns(calendar("timestamp", "hour_of_day", "day_of_week", "is_weekend"))
+
+
+def reviews(spark, folder):
+    from pasarlens.functions.features import sentiment
+
+    return etl.clean_reviews(fx.product_reviews(spark, folder)).withColumn("sentiment", sentiment(F.col("rating")))
+
+
+def searches(spark, folder):
+    from pasarlens.functions.features import calendar, query_shape
+
+    rows = etl.clean_searches(fx.search_logs(spark, folder))
+    return rows.withColumns({**calendar("timestamp", "hour_of_day", "day_of_week", "is_weekend"), **query_shape("query")})
+
+
+def interactions(spark, folder):
+    return etl.clean_interactions(fx.user_interactions(spark, folder))
+
+
+def products(spark, folder):
+    return etl.clean_products(fx.product_catalog(spark, folder))
+
+
+# ------------------------------------------------------------------ preparation
+
+
+def label_encode(spark, folder):
+    return prep.category_codes(fx.transaction_history(spark, folder), ["payment_method", "platform"])
+
+
+def random_split(spark, folder):
+    rows = fx.user_interactions(spark, folder).select("interaction_id")
+    return prep.random_split(rows, "interaction_id", 0.1, SEED)
+
+
+def stratified_split(spark, folder):
+    rows = fx.user_profiles(spark, folder).select("user_id", "user_segment")
+    return prep.stratified_split(stage(rows, "users"), "user_id", "user_segment", 0.2, SEED)
+
+
+def group_split(spark, folder):
+    rows = etl.clean_searches(fx.search_logs(spark, folder)).select("query")
+    return prep.train_groups(rows, "query", 0.2, SEED)
+
+
+def class_weights(spark, folder):
+    rows = fx.search_logs(spark, folder).select("log_id", "is_clicked").dropna()
+    both = prep.with_class_weight(rows, "is_clicked", "balanced", "balanced_weight")
+    both = prep.with_class_weight(both, "is_clicked", "positive", "positive_weight")
+    return both.withColumns({c: F.round(c, 8) for c in ("balanced_weight", "positive_weight")})
+
+
+def tokenize_ngrams(spark, folder):
+    return prep.term_counts(fx.product_reviews(spark, folder), "review_id", "review_text")
+
+
+def tfidf(spark, folder):
+    weights = prep.tfidf(fx.product_reviews(spark, folder), "review_id", "review_text")
+    return weights.withColumn("weight", F.round("weight", 6))
+
+
+def assemble(spark, folder):
+    rows, names = tasks.review_rows(reviews(spark, folder))
+    from pyspark.ml.functions import vector_to_array
+
+    vectors = prep.assemble(rows, names).select("review_id", vector_to_array("features").alias("v"))
+    squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
+    return vectors.select("review_id", F.size("v").alias("n_features"), F.round(squares, 6).alias("square_length"))
+
+
+def ranking_dataset(spark, folder):
+    rows = prep.ranking_dataset(etl.clean_searches(fx.search_logs(spark, folder)))
+    return rows.select("log_id", "query", "query_id", "relevance", "filter_category")
+
+
+def smote(spark, folder):
+    rows = stage(transactions(spark, folder).select("transaction_id", "is_fraud", "quantity", "subtotal_idr"), "txn")
+    return prep.smote(rows, "transaction_id", "is_fraud", ["quantity", "subtotal_idr"], 0.3, 5, SEED)
+
+
+# ------------------------------------------------------------------ models
+
+
+def churn(spark, folder):
+    return report(spark, tasks.churn(users(spark, folder), SHORT, SHORT_SPACE, LABEL_SOURCE))
+
+
+def segmentation(spark, folder):
+    return report(spark, tasks.segmentation(users(spark, folder), SHORT))
+
+
+def ltv(spark, folder):
+    return report(spark, tasks.ltv(users(spark, folder), SHORT, SHORT_SPACE))
+
+
+def fraud(spark, folder):
+    return report(spark, tasks.fraud(transactions(spark, folder), SHORT))
+
+
+def sentiment_model(spark, folder):
+    return report(spark, tasks.sentiment(tasks.review_rows(reviews(spark, folder)), 20))
+
+
+def rating_model(spark, folder):
+    return report(spark, tasks.rating(tasks.review_rows(reviews(spark, folder)), 20))
+
+
+def trending(spark, folder):
+    return report(spark, tasks.trending(tasks.product_rows(products(spark, folder)), SHORT))
+
+
+def ctr_cvr(spark, folder):
+    goods = tasks.product_rows(products(spark, folder))
+    click = tasks.product_rate(goods, "click_through_rate", SHORT)
+    return report(spark, click).unionByName(report(spark, tasks.product_rate(goods, "conversion_rate", SHORT)))
+
+
+def search_ctr(spark, folder):
+    return report(spark, tasks.search_ctr(searches(spark, folder).dropna(subset=["is_clicked"]), SHORT))
+
+
+def cf_scored(spark, folder):
+    result, _ = training.collaborative_filter(interactions(spark, folder), training.Plan(epochs=(5,), rank=10))
+    return report(spark, result)
+
+
+def mse_epoch_curve(spark, folder):
+    _, curve = training.collaborative_filter(interactions(spark, folder), training.Plan(epochs=(1, 3, 5), rank=10))
+    return curve
+
+
+def search_rank(spark, folder):
+    return report(spark, ranker.search_rank(searches(spark, folder)))
+
+
+def _count_model(spark, folder):
+    return recommender.train_recommender(
+        fx.user_interactions(spark, folder), fx.transaction_history(spark, folder), **SHORT_ALS
+    )
+
+
+def als_implicit(spark, folder):
+    fitted = _count_model(spark, folder)
+    return fitted.model.userFactors.select("id", F.size("features").alias("n_factors"))
+
+
+def recommend_all(spark, folder):
+    fitted = _count_model(spark, folder)
+    return recommend(fitted.model, fitted.matrix, 5, fitted.user_ids, fitted.product_ids)
+
+
+def recommend_with_scores(spark, folder):
+    fitted = _count_model(spark, folder)
+    goods = fx.product_catalog(spark, folder)
+    return recommend_enriched(fitted.model, fitted.matrix, 10, fitted.user_ids, fitted.product_ids, goods)
+
+
+def random_search(spark, folder):
+    rows, names = tasks.prepared(products(spark, folder), "product_id", tasks.PRODUCT_NUMBERS, (), ["is_trending"])
+    search = tuning.random_search(
+        prep.assemble(rows, names),
+        "product_id",
+        GBTClassifier(labelCol="is_trending", seed=SEED),
+        BinaryClassificationEvaluator(labelCol="is_trending", numBins=0),
+        SHORT_SPACE,
+        trials=2,
+        folds=3,
+    )
+    lines = [
+        (i, {p.name: float(v) for p, v in params.items()}, float(score))
+        for i, (params, score) in enumerate(zip(search.getEstimatorParamMaps(), search.avgMetrics))
+    ]
+    return spark.createDataFrame(lines, "trial int, params map<string,double>, mean_auc double")
+
+
+def feature_importance(spark, folder):
+    result = tasks.trending(tasks.product_rows(products(spark, folder)), SHORT)
+    return tuning.importance(spark, result.model, result.features, 10)
+
+
+def model_save(spark, folder):
+    root = staging_path(spark, "models")
+    result = tasks.trending(tasks.product_rows(products(spark, folder)), SHORT)
+    save_model(spark, result.model, result.name, result.metrics, root, "20240201_000000", {"features": result.features})
+    return saved_models(spark, root).select("name", "saved_at", F.explode("metrics").alias("metric", "value"))
+
+
+def train_recommender(spark, folder):
+    tables = [fx.user_interactions(spark, folder), fx.transaction_history(spark, folder)]
+    return training.train_recommender(spark, tables, staging_path(spark, "models"), "20240201_000000", **SHORT_ALS)
+
+
+def model_registry(spark, folder):
+    """Every task trained and saved; the registry read back from its CSV."""
+    root = staging_path(spark, "models")
+    training.train_all(
+        spark,
+        users(spark, folder),
+        transactions(spark, folder),
+        reviews(spark, folder),
+        products(spark, folder),
+        searches(spark, folder).dropna(subset=["is_clicked"]),
+        interactions(spark, folder),
+        root,
+        "20240201_000000",
+        training.Plan(SHORT, SHORT_SPACE, SHORT_SPACE, 20, 3000, 5, (3,), 10),
+        LABEL_SOURCE,
+    )
+    return read_registry(spark, f"{root}/model_registry")
+
+
+# ------------------------------------------------------------------ SQL forms
+
+
+def in_hash_order(key: str, over: str = "") -> str:
+    return f"row_number() over ({over} order by substr(md5({key} || '#{SEED}'), 1, 26)) - 1"
+
+
+TERMS = f"""{PR},
+words as (
+  select review_id, regexp_extract_all(lower(review_text), '[\\p{{L}}\\p{{N}}_]{{2,}}') as w from product_reviews),
+terms as (
+  select review_id, unnest(w) as term from words union all
+  select review_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words),
+counts as (select review_id, term, count(*) as tf from terms group by all)"""
+
+TFIDF = f"""{TERMS},
+vocabulary as (
+  select term, sum(tf) as total, count(*) as df from counts group by term having count(*) >= 5
+  order by total desc, term limit 3000),
+raw as (
+  select review_id, term, (1 + ln(tf::double))
+    * (ln((1 + (select count(*) from product_reviews))::double / (1 + df)) + 1) as x
+  from counts join vocabulary using (term)),
+lengths as (select review_id, sqrt(sum(x * x)) as length from raw group by review_id)
+select review_id, term, {rnd('x / length', 6)} as weight from raw join lengths using (review_id)"""
+
+ENCODE = """select 'payment_method' as "column", payment_method as value,
+    row_number() over (order by payment_method) - 1 as code, count(*) as n_rows
+  from transaction_history group by payment_method
+union all
+select 'platform', platform, row_number() over (order by platform) - 1, count(*)
+  from transaction_history group by platform"""
+
+QUERIES = [
+    Query("label_encode", label_encode, ask(TH, then=ENCODE)),
+    Query(
+        "random_split",
+        random_split,
+        f"""select interaction_id, cast(place < n - ceil(0.1::double * n) as int) as is_train from (
+              select event_id as interaction_id, {in_hash_order('event_id')} as place, count(*) over () as n
+              from events)""",
+    ),
+    Query(
+        "stratified_split",
+        stratified_split,
+        f"""select user_id, user_segment, cast(place < n - ceil(0.2::double * n) as int) as is_train from (
+              select c_custkey as user_id, c_mktsegment as user_segment,
+                {in_hash_order('c_custkey', 'partition by c_mktsegment')} as place,
+                count(*) over (partition by c_mktsegment) as n from customer)""",
+    ),
+    Query(
+        "group_split",
+        group_split,
+        ask(
+            SL,
+            then=f"""select query from (
+              select query, {in_hash_order('query')} as place, count(*) over () as n
+              from (select distinct lower(trim(query)) as query from search_logs))
+              where place < n - ceil(0.2::double * n)""",
+        ),
+    ),
+    Query(
+        "class_weights",
+        class_weights,
+        ask(
+            SL,
+            then=f"""select log_id, is_clicked, {rnd('n / (2 * own)', 8)} as balanced_weight,
+              {rnd('case when is_clicked = 1 then (n - own) / own else 1 end', 8)} as positive_weight from (
+              select log_id, is_clicked, count(*) over () as n, count(*) over (partition by is_clicked) as own
+              from search_logs where is_clicked is not null)""",
+        ),
+    ),
+    Query("tokenize_ngrams", tokenize_ngrams, ask(TERMS, then="select review_id, term, tf from counts")),
+    Query("tfidf", tfidf, f"with {TFIDF}"),
+    Query("smote", smote),
+    Query("assemble", assemble),
+    Query(
+        "ranking_dataset",
+        ranking_dataset,
+        ask(
+            SL,
+            then="""select log_id, query, cast(dense_rank() over (order by query) - 1 as int) as query_id,
+              is_clicked + 2 * has_purchase as relevance, coalesce(filter_category, 'none') as filter_category
+              from (select * replace (lower(trim(query)) as query) from search_logs)
+              where is_clicked is not null""",
+        ),
+    ),
+    Query("churn", churn),
+    Query("segmentation", segmentation),
+    Query("ltv", ltv),
+    Query("fraud", fraud),
+    Query("sentiment_model", sentiment_model),
+    Query("rating_model", rating_model),
+    Query("trending", trending),
+    Query("ctr_cvr", ctr_cvr),
+    Query("search_ctr", search_ctr),
+    Query("cf_scored", cf_scored),
+    Query("mse_epoch_curve", mse_epoch_curve),
+    Query("search_rank", search_rank),
+    Query("als_implicit", als_implicit),
+    Query("recommend_all", recommend_all),
+    Query("recommend_with_scores", recommend_with_scores),
+    Query("random_search", random_search),
+    Query("feature_importance", feature_importance),
+    Query("model_save", model_save),
+    Query("train_recommender", train_recommender),
+    Query("model_registry", model_registry),
+]
