@@ -22,7 +22,6 @@ def bigrams(tokens: Column) -> Column:
     )
 
 
-def terms(text: Column) -> Column:
+def terms(tokens: Column) -> Column:
     """Single words and pairs of neighbours."""
-    tokens = words(text)
     return F.concat(tokens, bigrams(tokens))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pasarlens.functions import features as X
-from pasarlens.functions.text import terms
+from pasarlens.functions.text import terms, words
 from pasarlens.operators.joins import rows_of_groups
 from pasarlens.operators.ranking import global_position, rank_cuts
 from pasarlens.operators.skew import join_stats
@@ -205,31 +205,42 @@ def with_class_weight(df: DataFrame, label: str, mode: str = "balanced", name: s
 # ------------------------------------------------------------------ text
 
 
-def term_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per occurrence of a word or word pair."""
-    return df.select(key, F.explode(terms(F.col(text))).alias("term"))
+def tokenized(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Words of every document, found once and stored in even parts for the later passes."""
+    return stage(df.select(key, words(F.col(text)).alias("words")).repartition(key), "words")
+
+
+def term_rows(documents: DataFrame, key: str) -> DataFrame:
+    """One row per occurrence of a word or word pair in ``tokenized`` documents."""
+    return documents.select(key, terms(F.col("words")).alias("found")).select(
+        key, F.explode("found").alias("term")
+    )
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    return term_rows(df, key, text).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """Rows (key, term, tf).  A document is one row, so counting rides on its partition."""
+    documents = df.select(key, text).repartition(key)
+    found = documents.select(key, words(F.col(text)).alias("words"))
+    return term_rows(found, key).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(df: DataFrame, text: str, max_features: int, min_df: int) -> DataFrame:
+def vocabulary(documents: DataFrame, max_features: int, min_df: int) -> DataFrame:
     """The most frequent terms with their document frequency; at most ``max_features`` rows.
 
     Every document gives (term, 1, 0) per occurrence and (term, 0, 1) per distinct term,
     so both counts come from one aggregate keyed by term only.
     """
-    found = terms(F.col(text))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    occurrences = F.transform(
-        found, lambda t: F.struct(t.alias("term"), one.alias("total"), zero.alias("df"))
-    )
-    presence = F.transform(
-        F.array_distinct(found), lambda t: F.struct(t.alias("term"), zero.alias("total"), one.alias("df"))
+
+    def marked(total: Column, df: Column):
+        return lambda t: F.struct(t.alias("term"), total.alias("total"), df.alias("df"))
+
+    found = documents.select(terms(F.col("words")).alias("found"))
+    both = F.concat(
+        F.transform("found", marked(one, zero)), F.transform(F.array_distinct("found"), marked(zero, one))
     )
     counts = (
-        df.select(F.inline(F.concat(occurrences, presence)))
+        found.select(F.inline(both))
         .groupBy("term")
         .agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
     )
@@ -244,12 +255,13 @@ def tfidf(
     The vocabulary is broadcast: it has ``max_features`` rows at most.  A document then has
     no more rows than the vocabulary, which bounds the window.
     """
-    documents = df.agg(F.count(F.lit(1))).scalar()
-    kept = vocabulary(df, text, max_features, min_df).select(
-        "term", (F.log((1.0 + documents) / (1.0 + F.col("df"))) + 1.0).alias("idf")
+    documents = tokenized(df, key, text)
+    rows = documents.agg(F.count(F.lit(1))).scalar()
+    kept = vocabulary(documents, max_features, min_df).select(
+        "term", (F.log((1.0 + rows) / (1.0 + F.col("df"))) + 1.0).alias("idf")
     )
     counts = (
-        term_rows(df, key, text)
+        term_rows(documents.repartition(key), key)  # one shuffle serves count and length
         .join(F.broadcast(kept), "term")
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
