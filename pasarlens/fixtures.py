@@ -27,7 +27,7 @@ def user_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("event_id").alias("interaction_id"),
         "user_id",
-        _k().alias("product_id"),
+        _k().cast("long").alias("product_id"),
         F.col("event_type").alias("interaction_type"),
         F.lit(None).cast("int").alias("implicit_score"),
         F.col("ts").alias("timestamp"),

@@ -89,7 +89,7 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
 
 def ndcg_per_query(
     df: DataFrame,
-    k: int,
+    ks: Sequence[int],
     group: str = "query_id",
     relevance: str = "relevance",
     score: str = "score",
@@ -97,35 +97,37 @@ def ndcg_per_query(
     gains: Sequence[float] = LABEL_GAIN,
     without_relevant: float = 1.0,
 ) -> DataFrame:
-    """NDCG@k of every query; a query without relevant rows scores ``without_relevant``.
+    """Columns ``ndcg_<k>`` per query; a query without relevant rows scores ``without_relevant``.
 
-    Only the first ``k`` rows by score and the first ``k`` by relevance of a query are
-    needed, and both are limited per task before the shuffle.
+    Only the first rows by score and the first by relevance of a query are needed (as many
+    as the largest cut-off), and both are limited per task before the shuffle.
     """
     gain = F.array(*[F.lit(float(g)) for g in gains])[F.col(relevance)]
-    rows = df.select(
-        group, F.col(relevance), F.col(score).alias("_score"), F.col(tie).alias("_tie"), gain.alias("_gain")
-    )
+    rows = df.select(group, F.col(score).alias("_score"), F.col(tie).alias("_tie"), gain.alias("_gain"))
+    share = F.col("_gain") / F.log2(F.col("_rank") + 1.0)
 
     def dcg(order: list[Column], name: str) -> DataFrame:
-        best = topk(rows, [group], order, k, "_rank")
-        return best.groupBy(group).agg(F.sum(F.col("_gain") / F.log2(F.col("_rank") + 1.0)).alias(name))
+        best = topk(rows, [group], order, max(ks), "_rank")
+        return best.groupBy(group).agg(
+            *[F.sum(F.when(F.col("_rank") <= k, share)).alias(f"{name}_{k}") for k in ks]
+        )
 
     reached = dcg([F.desc("_score"), F.asc("_tie")], "dcg")
     ideal = dcg([F.desc("_gain"), F.asc("_tie")], "ideal")
-    value = F.when(F.col("ideal") > 0, F.col("dcg") / F.col("ideal")).otherwise(F.lit(without_relevant))
-    return reached.join(ideal, group).select(group, value.alias("ndcg"))
+    none = F.lit(without_relevant)
+    return reached.join(ideal, group).select(
+        group,
+        *[
+            F.when(F.col(f"ideal_{k}") > 0, F.col(f"dcg_{k}") / F.col(f"ideal_{k}")).otherwise(none).alias(f"ndcg_{k}")
+            for k in ks
+        ],
+    )
 
 
 def ndcg_at_k(df: DataFrame, ks: Sequence[int] = (5, 10), **columns) -> DataFrame:
     """Mean NDCG over queries, one row per cut-off."""
-    results = [
-        ndcg_per_query(df, k, **columns).agg(
-            F.lit(k).alias("k"), F.avg("ndcg").alias("ndcg"), F.count(F.lit(1)).alias("n_queries")
-        )
-        for k in ks
-    ]
-    stacked = results[0]
-    for other in results[1:]:
-        stacked = stacked.unionByName(other)
-    return stacked
+    means = ndcg_per_query(df, ks, **columns).agg(
+        *[F.avg(f"ndcg_{k}").alias(f"m_{k}") for k in ks], F.count(F.lit(1)).alias("n_queries")
+    )
+    lines = [F.struct(F.lit(k).alias("k"), F.col(f"m_{k}").alias("ndcg"), "n_queries") for k in ks]
+    return means.select(F.inline(F.array(*lines)))

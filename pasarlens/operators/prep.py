@@ -44,9 +44,10 @@ def encode_ids(
 
     Returns the rows and the dictionaries, which also lead back from code to id.
     """
-    encoded, dictionaries = df, {}
+    rows = stage(df, "to-encode")  # read once per dictionary and once for the result
+    encoded, dictionaries = rows, {}
     for column, name in codes.items():
-        dictionary = id_codes(df, column)
+        dictionary = id_codes(rows, column)
         dictionaries[column] = dictionary
         lookup = dictionary.select(
             F.col("value").alias(column), F.col("code").cast("int").alias(name), "n_rows"

@@ -34,7 +34,7 @@ def title(x: str) -> str:
 K = "cast(json_extract_string(props, '$.k') as int)"
 
 UI = f"""user_interactions as (
-  select event_id as interaction_id, user_id, {K} as product_id, event_type as interaction_type,
+  select event_id as interaction_id, user_id, cast({K} as bigint) as product_id, event_type as interaction_type,
          cast(null as int) as implicit_score, ts as "timestamp",
          cast(user_id as varchar) || '-' || cast(cast(ts as date) as varchar) as session_id
   from events)"""

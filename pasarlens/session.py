@@ -40,9 +40,19 @@ def shared_folder(spark: SparkSession) -> str:
     return local
 
 
+def staging_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    root = shared_folder(spark).rstrip("/")
-    return f"{root}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete this application's staged tables; call it once its results are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
