@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pasarlens.functions import features as X
 from pasarlens.operators.aggregates import PAIR
 from pasarlens.operators.skew import join_stats
+from pasarlens.session import stage
 
 
 def user_product_features(
@@ -37,10 +38,11 @@ def enrich(recommendations: DataFrame, products: DataFrame) -> DataFrame:
     products; adaptive execution broadcasts the metadata when it measures it as small.
     """
     wanted = ["product_name", "category", "final_price_idr"]
-    popular = recommendations.groupBy("product_id").agg(F.count(F.lit(1)).alias("_times"))
+    picked = stage(recommendations, "recommended")  # read for its counts and for the join
+    popular = picked.groupBy("product_id").agg(F.count(F.lit(1)).alias("_times"))
     details = products.select("product_id", *wanted).join(popular, "product_id")
     return join_stats(
-        recommendations, details, ["product_id"], "_times", ["user_id", "product_id"]
+        picked, details, ["product_id"], "_times", ["user_id", "product_id"]
     ).drop("_times")
 
 

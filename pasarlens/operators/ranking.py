@@ -248,6 +248,8 @@ def global_ntile(
     rows = narrow.count()
     everything = F.lit(True)
     v, k = F.col(value), tie_number(df, key)
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        v = F.nanvl(v, F.lit(float("inf")))  # not-a-number counts as the largest value
     targets = [(everything, rank) for rank in _tile_starts(rows, tiles)]
     cuts = rank_cuts(narrow, v, k, targets) if targets else []
     tile = reduce(

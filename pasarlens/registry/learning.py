@@ -21,6 +21,9 @@ SEED = 42
 # The registered trainings are short; the defaults of the tasks are the full sizes.
 SHORT = Budget(trees=8, depth=4, step=0.2, sample=0.8, trials=2, folds=3)
 SHORT_SPACE = {"maxIter": Range(4, 8, "int"), "maxDepth": Range(3, 5, "int"), "stepSize": Range(0.05, 0.3, "log")}
+# All tasks in one query: just enough to fit and save every kind of model.
+LEAST = Budget(trees=3, depth=3, step=0.3, trials=1, folds=2)
+LEAST_SPACE = {"maxIter": Range(2, 3, "int"), "stepSize": Range(0.1, 0.3, "log")}
 SHORT_ALS = {"rank": 10, "maxIter": 5}
 # The churn label of the test tables is made from this column.
 LABEL_SOURCE = ("days_since_last_purchase",)
@@ -249,7 +252,7 @@ def model_registry(spark, folder):
         interactions(spark, folder),
         root,
         "20240201_000000",
-        training.Plan(SHORT, SHORT_SPACE, SHORT_SPACE, 20, 3000, 5, (3,), 10),
+        training.Plan(LEAST, LEAST_SPACE, LEAST_SPACE, 10, 3000, 5, (3,), 10),
         LABEL_SOURCE,
     )
     return read_registry(spark, f"{root}/model_registry")

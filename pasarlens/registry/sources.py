@@ -63,8 +63,9 @@ def incremental_ingest(spark, folder):
     """Two deliveries of files, three runs: nothing is lost or taken twice."""
     events = fx.table(spark, folder, "events")
     source, target, progress = (staging_path(spark, p) for p in ("in", "out", "progress"))
-    for delivery in (0, 1):
-        events.where(F.col("event_id") % 2 == delivery).write.mode("append").parquet(source)
+    viewed = F.col("event_type") == "view"
+    for delivery in (viewed, ~viewed):
+        events.where(delivery).write.mode("append").parquet(source)
         ingest_new(spark, source, target, progress, events.schema)
     ingest_new(spark, source, target, progress, events.schema)
     return spark.read.schema(events.schema).parquet(target)
@@ -78,10 +79,9 @@ def recs_upsert(spark, folder):
         F.col("user_id").cast("string").alias("user_id"),
         F.array("product_id").alias("recommendations"),
         "timestamp",
-        "interaction_id",
+        (F.col("interaction_type") == "view").alias("viewed"),
     )
-    for batch in (0, 1):
-        mine = puts.where(F.col("interaction_id") % 2 == batch)
+    for batch, mine in enumerate((puts.where("viewed"), puts.where("not viewed"))):
         recs_store.put_recs(mine, path, batch)
     return recs_store.read_recs(spark, path).withColumn(
         "recommendations", F.concat_ws(",", F.col("recommendations").cast("array<string>"))
@@ -150,7 +150,7 @@ QUERIES = [
             then="""select cast(user_id as varchar) as user_id, cast(product_id as varchar) as recommendations,
                     "timestamp" from user_interactions
                     qualify row_number() over (partition by user_id
-                      order by "timestamp" desc, interaction_id % 2 desc) = 1""",
+                      order by "timestamp" desc, interaction_type <> 'view' desc) = 1""",
         ),
     ),
     Query("matrix_persist", matrix_persist, MATRIX_CELLS),
