@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pasarlens.operators.skew import join_stats, largest_group, shuffle_width
+from pasarlens.operators.skew import join_stats, largest_group
 from pasarlens.session import stage
 
 # Groups up to this size are ranked by an ordinary window.
