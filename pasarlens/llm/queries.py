@@ -8,9 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pasarlens.llm.chunk_dedup import dedup_chunks
+from pasarlens.llm.html import extract_pages
 from pasarlens.llm.line_dedup import dedup_lines
 from pasarlens.llm.mixing import mix_sizes
+from pasarlens.llm.packing import pack
+from pasarlens.llm.pii import personal_data
+from pasarlens.llm.quality import quality_rules
 from pasarlens.llm.sharding import shard_documents
+from pasarlens.llm.simhash import near_duplicates
+from pasarlens.llm.vectors import near_vectors
 
 
 @dataclass(frozen=True)
@@ -86,8 +93,61 @@ select s.doc_id, cast(s.size as bigint) as size, l.source_size, l.target,
 from sized s join limits l on s.source is not distinct from l.source"""
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = dedup_chunks(table(spark, folder, "documents"))
+    return done.select(
+        "doc.doc_id", "n_chunks", "n_repeated", "n_dropped", "first_doc_id", "spans", F.col("kept").alias("text")
+    )
+
+
+def tokenizer_path() -> str:
+    """Where this machine keeps the tokenizer file; workers read their own copy."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), tokenizer_path())
+
+
+def op7_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_vectors(table(spark, folder, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    facts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    return judged.select("doc.doc_id", *[f"j.{c}" for c in facts])
+
+
+def op10_html(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages")).select("page.page_id", "page.url", "text", "n_chars")
+
+
 QUERIES: list[Query] = [
     Query("op1_line_dedup", op1_line_dedup, LINE_DEDUP_SQL),
     Query("op2_sharding", op2_sharding),
     Query("op3_mixing", op3_mixing, MIXING_SQL),
+    Query("op4_pii", op4_pii),
+    Query("op5_substring_dedup", op5_substring_dedup),
+    Query("op6_packing", op6_packing),
+    Query("op7_vector_dedup", op7_vector_dedup),
+    Query("op8_simhash", op8_simhash),
+    Query("op9_quality", op9_quality),
+    Query("op10_html", op10_html),
 ]
