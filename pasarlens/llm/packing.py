@@ -9,56 +9,100 @@ more (many bins over half full can never be joined); the bins are then done as t
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pasarlens.llm.common import stage
 
-# Pieces that one task packs at a time, and words that one worker remembers.
+# Pieces that one task packs at a time, words that one worker remembers, characters it encodes at a time.
 ITEMS = 100_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+BATCH_CHARS = 8_000_000
 TAIL = ".,!?;:*&%$#"
 
 
-class WordIds(dict):
-    """Ids of white-space separated words as little-endian bytes, from the tokenizer.
+class WordIds:
+    """Ids of texts by the tokenizer, word by word.
 
-    White space ends every token, so a text's ids are those of its words in a row.  A word of
-    letters with marks behind it is looked up as both parts: the tokenizer splits it there, too.
+    White space ends every token, so a text's ids are those of its words in a row, and a word is
+    looked up once per batch.  Letters are split from the marks behind them, as the tokenizer does;
+    new words of letters only are encoded many at a time, and the tokens that end a word tell them apart.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.ids: dict[str, bytes] = {"": b""}
+        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    @staticmethod
+    def parts(word: str) -> tuple[str, str]:
+        """Letters (lower-cased if ASCII) and marks; no letters if the word is of another kind."""
         stem = word.rstrip(TAIL)
-        if word.isascii() and stem != word and stem.isalpha():
-            ids = self[stem.lower()] + self[word[len(stem) :]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            ids = self[word.lower()]
-        elif not word.isascii() and stem != word and stem.isalpha():
-            ids = self[stem] + self[word[len(stem) :]]
-        else:
-            ids = self.encode(word)
-        if len(word) <= 40:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
-    def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        if not stem.isalpha():
+            return "", word
+        return stem.lower() if word.isascii() else stem, word[len(stem) :]
+
+    def learn(self, stems: set[str]) -> None:
+        new = list(stems - self.ids.keys())
+        for start in range(0, len(new), 1000):
+            some = new[start : start + 1000]
+            found = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
+            if len(stops) == len(some):
+                raw = found.tobytes()
+                self.ids.update(zip(some, [raw[a:z] for a, z in zip([0, *stops], stops)]))
+            else:  # a word that the tokenizer splits
+                self.ids.update((w, self.encode(w)) for w in some)
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        split = list(map(self.parts, words))
+        self.learn({stem for stem, _ in split})
+        for marks in {marks for _, marks in split}.difference(self.ids):
+            self.ids[marks] = self.encode(marks)
+        ids = self.ids
+        return [ids[stem] + ids[marks] for stem, marks in split]
+
+    def of_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of every text."""
+        if len(self.ids) > CACHED_WORDS:
+            self.ids = {"": b""}
+        column = pc.replace_substring(pa.array([t or "" for t in texts], pa.large_string()), "\n", " ")
+        lists = pc.split_pattern(column, " ")
+        coded = lists.values.dictionary_encode()
+        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        own = self.of_words(words)
+        sizes = np.array([len(i) // 4 for i in own], np.int64)
+        flat, starts = np.frombuffer(b"".join(own), "<u4"), np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        counts = sizes[which]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.arange(upto[-1]) + np.repeat(starts[which] - upto[:-1], counts)]
+        at = upto[lists.offsets.to_numpy()]
+        return [ids[a:z] for a, z in zip(at[:-1], at[1:])]
+
+    def of(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of many texts, about ``BATCH_CHARS`` at a time, so the memory does not follow their number."""
+        some: list[str | None] = []
+        chars = 0
+        for text in texts:
+            some.append(text)
+            chars += len(text or "")
+            if chars >= BATCH_CHARS:
+                yield from self.of_batch(some)
+                some, chars = [], 0
+        if some:
+            yield from self.of_batch(some)
 
 
 _words: dict[str, WordIds] = {}
@@ -76,14 +120,13 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -
 
     A document's ids end with ``end_id``; only longer ones are cut, into pieces of ``capacity``.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     @F.pandas_udf("array<struct<start:long,length:long,ids_crc32:long>>")
     def cut(texts: pd.Series) -> pd.Series:
-        words = word_ids(tokenizer)
         out = []
-        for text in texts:
-            ids = words.of(text) + end
+        for found in word_ids(tokenizer).of(texts):
+            ids = np.concatenate([found, end]).tobytes()
             n = len(ids) // 4
             out.append(
                 [
