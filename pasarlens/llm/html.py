@@ -45,6 +45,8 @@ NAMED_OUT = re.compile(
     r"recommendations|more-stories|pagination|pager|toolbar|search|forms?|complementary|contentinfo|tags|teasers?)(?:$|[\s_-])",
     re.I,
 )
+# Of these, names that a wrapper around the whole page may carry as well ("with-sidebar").
+LAYOUT = re.compile(r"(?:^|[\s_-])(?:sidebars?|side|nav|navbar|search|forms?|tags|banners?|social|share)(?:$|[\s_-])", re.I)
 NAMED_IN = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|hentry|main|page|post|text|story|blog)(?:$|[\s_-])", re.I)
 START = {"article": 30.0, "main": 20.0, "div": 5.0, "section": 3.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0}
 
@@ -54,6 +56,7 @@ class Element:
     tag: str
     parent: int
     out: bool  # it or something around it is left out
+    layout: bool = False  # left out by a name that may be a wrapper's
     base: float = 0.0
     points: float = 0.0
     last: int = 0  # number of the last element inside
@@ -151,17 +154,32 @@ class Page:
         inside_article = any(self.elements[k].tag == "article" for k in self.open)
         if not out and tag == "header":
             out = not inside_article
-        if not out and names and tag not in ("html", "body", "article", "main"):
-            out = bool(NAMED_OUT.search(names)) and not (tag in HEADING)
-        elif not out and names and tag == "article":
-            out = bool(re.search(r"(?:^|[\s_-])(?:comments?|reply|teasers?|related|ads?|promos?|sponsored)(?:$|[\s_-])", names, re.I))
+        layout = False
+        if tag in ("article", "main"):
+            other = bool(names and NAMED_OUT.search(names) and not LAYOUT.search(names))
+            out = other or self._behind(self.open)
+            if not out:
+                for k in self.open:
+                    self.elements[k].out = False
+        elif not out and names and tag not in ("html", "body", *HEADING):
+            out = bool(NAMED_OUT.search(names))
+            layout = out and bool(LAYOUT.search(names))
         base = START.get(tag, 0.0) + (10.0 if names and NAMED_IN.search(names) else 0.0)
-        self.elements.append(Element(tag, self.open[-1], out, base))
+        self.elements.append(Element(tag, self.open[-1], out, layout, base))
         self.open.append(len(self.elements) - 1)
         self.links += tag == "a"
         if tag in BLOCK:
             self.block = None
 
+    def _behind(self, around: list[int]) -> bool:
+        """Is something around left out for good, and not just by a wrapper's name?"""
+        by_name = False
+        for k in around:
+            by_name = by_name or self.elements[k].layout
+            if self.elements[k].out and not by_name:
+                return True
+        return any(self.elements[k].tag in LEFT_OUT or self.elements[k].tag == "header" for k in around)
+
     def _close(self) -> None:
         element = self.elements[self.open.pop()]
         element.last = len(self.elements) - 1

@@ -200,8 +200,10 @@ def tokenizer():
 def test_word_ids_equal_the_tokenizer(spark, folder, tokenizer):
     words = WordIds(tokenizer)
     odd = ["It's we'll I'M x", "<|endoftext|> a<|startoftext|>b", "é É ΣΑΣ. İx, ǅ", "a b c", "1,234.5! ***", "\x1c \x85 tab\tx\r\n"]
-    for text in [t for _, t in documents(spark, folder)] + odd:
-        assert words.of(text) == words.encode(text), text
+    texts = [t for _, t in documents(spark, folder)] + odd
+    for text, ids in zip(texts, words.of(texts)):
+        assert ids.tobytes() == words.encode(text), text
+    assert [len(i) for i in words.of([None, "", " \n", "a"])] == [0, 0, 0, 1]
 
 
 def check_packing(rows, ids_of, capacity):
@@ -371,6 +373,20 @@ def test_main_text(name):
     assert main_text(PAGE % name) == WANT
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        '<div class="page with-sidebar"><div class="sidebar"><p>Side, text</p></div><article><h1>T</h1><p>A, b.</p></article></div>',
+        '<main><article class="post"><header><h1>T</h1></header><p>A, b.</p></article><div class="comments">'
+        '<article class="comment"><p>Words, of, a, reader, and many more of them.</p></article></div></main>',
+        '<div class="nav"><p>Menu, menu</p></div><main><h1>T</h1><p>A, b.</p><aside><article><p>Teaser, x, y, z.</p></article></aside></main>',
+        '<div id="content"><div class="ad"><p>Buy, now, this, and that</p></div><h1>T</h1><p>A, b.</p></div><div class="alert notice">Old, browser, sir, go</div>',
+    ],
+)
+def test_main_text_among_other_parts(source):
+    assert main_text(source) == "T A, b."
+
+
 @pytest.mark.parametrize(
     "source,want",
     [
