@@ -37,6 +37,17 @@ def scan_csv_parts(spark, folder):
     return csv.read_csv_parts(spark, path, schema)
 
 
+def scan_csv_reviews(spark, folder):
+    """Free text with quotes, commas and line breaks, in parts whose columns come in another order."""
+    rows = fx.product_reviews(spark, folder).select(
+        "review_id", "rating", F.concat(F.lit('he said "so", '), "review_text").alias("review_text")
+    )
+    root = staging_path(spark, "csv")
+    for name, half in (("a", rows.where("review_id % 2 = 0")), ("b", rows.where("review_id % 2 = 1").select("review_text", "rating", "review_id"))):
+        half.write.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+    return csv.read_csv_parts(spark, f"{root}/*", rows.schema)
+
+
 def row_cap(spark, folder):
     path, schema = _orders_as_csv(spark, folder)
     return csv.read_csv_parts(spark, path, schema, nrows=CAP)
@@ -119,8 +130,8 @@ cells as (
     select user_id, product_id from user_interactions union all
     select user_id, product_id from transaction_history)
   where user_id is not null and product_id is not null group by all)
-select cast(dense_rank() over (order by user_id) - 1 as int) as user_idx,
-       cast(dense_rank() over (order by product_id) - 1 as int) as product_idx, n_events from cells"""
+select dense_rank() over (order by user_id) - 1 as user_idx,
+       dense_rank() over (order by product_id) - 1 as product_idx, n_events from cells"""
 
 QUERIES = [
     Query(
@@ -129,6 +140,11 @@ QUERIES = [
         "select 'catalog_orders' as table_name, count(*) as n_rows, cast(6 as int) as n_columns from orders",
     ),
     Query("scan_csv_parts", scan_csv_parts, "select * from orders"),
+    Query(
+        "scan_csv_reviews",
+        scan_csv_reviews,
+        ask(PR, then="""select review_id, rating, 'he said "so", ' || review_text as review_text from product_reviews"""),
+    ),
     Query("row_cap", row_cap, f"select * from orders order by o_orderkey limit {CAP}"),
     Query("scan_parquet_pruned", scan_parquet_pruned, "select l_orderkey, l_partkey from lineitem"),
     Query("dataset_summary", dataset_summary, ask(UP, PC, UI, TH, PR, SL, then=SUMMARY)),

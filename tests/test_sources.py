@@ -107,3 +107,18 @@ def test_pair_matrix_sides(spark):
     assert (got[2]["total_spend_on_product"], got[2]["days_since_last"], got[2]["has_purchased"]) == (10.0, 9, 1)
     full = etl.user_product_matrix(ui, th, "2024-01-11", how="full")
     assert {r["product_id"] for r in full.collect()} == {1, 2, 3}
+
+
+def test_csv_text_with_quotes_commas_and_line_breaks(spark, tmp_path):
+    import pandas as pd
+
+    rows = [(1, 'he said "good", ok', 5), (2, "two\nlines, one \"\"", 4), (3, "back\\slash", 3), (4, None, 2)]
+    whole = pd.DataFrame(rows, columns=["id", "text", "rating"])
+    whole.iloc[:2].to_csv(tmp_path / "a.csv", index=False)
+    whole.iloc[2:][["rating", "text", "id"]].assign(extra=1).to_csv(tmp_path / "b.csv", index=False)
+    whole.iloc[:1][["id"]].assign(id=9).to_csv(tmp_path / "c.csv", index=False)
+    got = csv.read_csv_parts(spark, str(tmp_path), "id int, text string, rating int")
+    assert sorted(map(tuple, got.collect())) == rows + [(9, None, None)]
+    first = csv.read_csv_parts(spark, str(tmp_path), "id int, text string, rating int", nrows=3)
+    assert sorted(r["id"] for r in first.collect()) == [1, 2, 3]
+    assert csv.read_csv_parts(spark, str(tmp_path), "id int", nrows=99).count() == 5
