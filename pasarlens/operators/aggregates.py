@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.functions.exact import money
+from pasarlens.functions.exact import money_sum
 from pasarlens.session import stage
 
 PAIR = ("user_id", "product_id")
@@ -31,7 +31,7 @@ def interaction_agg(interactions: DataFrame) -> DataFrame:
 
 def transaction_agg(transactions: DataFrame) -> DataFrame:
     """Spending of every (user, product) pair on paid transactions."""
-    spend = F.sum(money("total_idr")).cast("double")
+    spend = money_sum("total_idr")
     return (
         transactions.where(F.col("payment_status") == PAID)
         .groupBy(*PAIR)
