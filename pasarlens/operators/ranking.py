@@ -25,7 +25,9 @@ from pasarlens.session import stage
 # Groups up to this size are ranked by an ordinary window.
 WINDOW_ROWS = 5_000_000
 # percentile_approx keeps at most about this many centroids; its rank error is rows/ACCURACY.
-ACCURACY = 10_000
+ACCURACY = 1_000
+# The digests of the tasks are merged in so many groups: no task merges those of all others.
+DIGEST_GROUPS = 64
 # Once all search windows together hold this few rows, their values are fetched.
 FINISH_ROWS = 20_000
 
@@ -83,7 +85,11 @@ class _Search:
 
 
 def _pivots(df: DataFrame, column: Column, windows: list[list[_Search]]) -> list[list[Any]]:
-    """A few values of every window close to the wanted ranks (the ends keep it moving)."""
+    """A few values of every window close to the wanted ranks (the ends keep it moving).
+
+    Every group of tasks gives its own estimate, and the middle one is taken: pivots need not be
+    exact, as the rows between them are counted exactly.
+    """
     picks = []
     for i, group in enumerate(windows):
         inside = F.when(group[0].inside(column), column)
@@ -93,8 +99,13 @@ def _pivots(df: DataFrame, column: Column, windows: list[list[_Search]]) -> list
             F.min(inside).alias(f"lo{i}"),
             F.max(inside).alias(f"hi{i}"),
         ]
-    found = df.agg(*picks).first()
-    return [sorted({*found[f"p{i}"], found[f"lo{i}"], found[f"hi{i}"]}) for i in range(len(windows))]
+    found = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(DIGEST_GROUPS)).alias("_tasks")).agg(*picks).collect()
+    pivots = []
+    for i in range(len(windows)):
+        seen = [r for r in found if r[f"lo{i}"] is not None]
+        middle = {sorted(values)[len(values) // 2] for values in zip(*[r[f"p{i}"] for r in seen])}
+        pivots.append(sorted({*middle, min(r[f"lo{i}"] for r in seen), max(r[f"hi{i}"] for r in seen)}))
+    return pivots
 
 
 def _count_pivots(
@@ -340,7 +351,7 @@ def _ranked(
         (F.col("_place") - F.col("_first")).alias("_rank"),
         "_group_rows",
     )
-    return df.join(ranks, F.col(key) == F.col("_ranked_key"), "left").drop("_ranked_key")
+    return df.join(ranks, F.col(key).eqNullSafe(F.col("_ranked_key")), "left").drop("_ranked_key")
 
 
 def rank_in_group(

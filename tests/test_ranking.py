@@ -85,3 +85,19 @@ def test_key_must_be_unique(spark):
     df = spark.createDataFrame([(1, 2.0)] * 10, "id long, v double")
     with pytest.raises(ValueError):
         ranking.global_ntile(df, 4, "v", "id", "t")
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_row_without_a_key_is_ranked_on_both_paths(spark, limit):
+    rows = [(1, "g", 3), (2, "g", 1), (None, "g", 2), (4, "h", 1)]
+    df = spark.createDataFrame(rows, "id long, g string, v int")
+    got = ranking.rank_in_group(df, ["g"], ["v"], "id", "place", window_rows=limit)
+    assert {(r["id"], r["place"]) for r in got.collect()} == {(2, 1), (None, 2), (1, 3), (4, 1)}
+
+
+def test_digests_are_not_merged_by_one_task(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "DIGEST_GROUPS", 3)
+    monkeypatch.setattr(ranking, "FINISH_ROWS", 0)
+    df = table(spark, mixed(2000, 9)).repartition(8)
+    got = ranking.global_ntile(expected_tiles(df, 20), 20, "v", "id", "got", measured=df)
+    assert got.where("got <> want").count() == 0
