@@ -40,23 +40,33 @@ def enrich(recommendations: DataFrame, products: DataFrame) -> DataFrame:
     wanted = ["product_name", "category", "final_price_idr"]
     picked = stage(recommendations, "recommended")  # read for its counts and for the join
     popular = picked.groupBy("product_id").agg(F.count(F.lit(1)).alias("_times"))
-    details = products.select("product_id", *wanted).join(popular, "product_id")
+    # counts of all recommended products, so one that the catalogue lacks is spread as well
+    details = popular.join(products.select("product_id", *wanted), "product_id", "left")
     return join_stats(
         picked, details, ["product_id"], "_times", ["user_id", "product_id"]
     ).drop("_times")
 
 
-def rows_of_groups(
-    rows: DataFrame, groups: DataFrame, key: str, inside: bool, spread_by: Sequence[str]
+def mark_groups(
+    rows: DataFrame, groups: DataFrame, key: str, spread_by: Sequence[str], name: str = "_inside"
 ) -> DataFrame:
-    """Rows whose group is (semi join) or is not (anti join) in ``groups``.
+    """Every row with the verdict whether its group is in ``groups`` (no null group is).
 
-    The verdict per group is made on the list of groups, then carried to the rows with
-    hot groups spread.
+    The verdict is made once per group and carried to the rows; groups that hold many rows are
+    spread whatever their verdict.
     """
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    kept = sizes.join(groups.select(key), key, "left_semi" if inside else "left_anti")
-    return join_stats(rows, kept, [key], "_size", spread_by, null_safe=True, how="inner").drop("_size")
+    listed = groups.select(key).distinct().withColumn(name, F.lit(True))
+    verdicts = sizes.join(listed, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return join_stats(rows, verdicts, [key], "_size", spread_by, null_safe=True, how="inner").drop("_size")
+
+
+def rows_of_groups(
+    rows: DataFrame, groups: DataFrame, key: str, inside: bool, spread_by: Sequence[str]
+) -> DataFrame:
+    """Rows whose group is (semi join) or is not (anti join) in ``groups``."""
+    marked = mark_groups(rows, groups, key, spread_by)
+    return marked.where(F.col("_inside") == inside).drop("_inside")
 
 
 def union_pairs(*tables: DataFrame) -> DataFrame:
@@ -106,11 +116,9 @@ def user_history(interactions: DataFrame) -> DataFrame:
 
 def history_of(asked: DataFrame, interactions: DataFrame) -> DataFrame:
     """History rows of the asked users; an unknown user gives one row with an error."""
-    found = user_history(interactions)
     users = asked.select("user_id").distinct()
-    # The users are few next to the history, but a user's history may be long: it is
-    # the history that is streamed, and the hot users are spread by user_history.
-    known = found.join(users, "user_id", "left_semi").withColumn("error", F.lit(None).cast("string"))
+    own = mark_groups(interactions.select(*PAIR), users, "user_id", ["product_id"]).where("_inside").drop("_inside")
+    known = user_history(own).withColumn("error", F.lit(None).cast("string"))
     unknown = users.join(distinct_values(interactions, "user_id"), "user_id", "left_anti").select(
         "user_id",
         F.lit(None).cast(interactions.schema["product_id"].dataType).alias("product_id"),

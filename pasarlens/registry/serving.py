@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens import fixtures as fx
@@ -12,7 +15,8 @@ from pasarlens.registry.aggregates import STACKED, STATS, pairs
 from pasarlens.registry.base import REQ, UI, Query, ask
 from pasarlens.registry.joins import best_products
 from pasarlens.registry.tables import UI_AGG
-from pasarlens.session import stage
+from pasarlens.session import stage, staging_path
+from pasarlens.streaming.serving import serve_stream
 
 
 def serve_requests(spark, folder):
@@ -24,6 +28,33 @@ def serve_requests(spark, folder):
     return answers.select("request_id", "status", "response")
 
 
+def serve_stream_requests(spark, folder):
+    """The same requests as files of a stream; the responses of all its batches."""
+    asked = fx.requests(spark, folder)
+    depth = parse_requests(asked).agg(F.max("n")).first()[0] or 1
+    lists = stage(recommendation_lists(best_products(spark, folder, depth)), "lists")
+    source = stage(asked, "requests").inputFiles()[0].rsplit("/", 1)[0]
+    root = staging_path(spark, "stream")
+    serve_stream(spark, source, lists, f"{root}/responses", f"{root}/store", f"{root}/progress", fx.EVENTS_AS_OF)
+    return spark.read.parquet(f"{root}/responses").select("request_id", "status", "response")
+
+
+FEW_USERS = (1, 2, 3, 5, 8)
+
+
+def unseen_items_of_users(spark, folder):
+    """Products that each of a few users has not touched, as rows."""
+    rows = stage(fx.user_interactions(spark, folder).select("user_id", "product_id"), "pairs")
+    found = [J.unseen_items(rows, u).select(F.lit(u).cast("long").alias("user_id"), "product_id") for u in FEW_USERS]
+    return reduce(DataFrame.unionByName, found)
+
+
+def history_of_users(spark, folder):
+    """History of a few users; the one nobody knows gives a row with an error."""
+    asked = spark.createDataFrame([(u,) for u in (*FEW_USERS, -1)], "user_id long")
+    return J.history_of(asked, fx.user_interactions(spark, folder))
+
+
 def user_interactions_list(spark, folder):
     return J.user_history(fx.user_interactions(spark, folder))
 
@@ -39,8 +70,22 @@ select request_id, status, case when status = 200 then
   else '{"error":"' || error || '"}' end as response
 from opened o left join lists l on o.user_id = cast(l.user_id as varchar)"""
 
+ASKED = ", ".join(f"({u}::bigint)" for u in FEW_USERS)
+UNSEEN = f"""select user_id, product_id from (values {ASKED}) as asked(user_id),
+  (select distinct product_id from user_interactions where product_id is not null) as items
+except select user_id, product_id from user_interactions"""
+HISTORY = f"""select user_id, product_id, count(*) over (partition by user_id) as total_interactions,
+  cast(null as varchar) as error
+from (select distinct user_id, product_id from user_interactions where user_id in ({", ".join(map(str, FEW_USERS))}))
+union all
+select user_id, null, null, 'User not found' from (values {ASKED}, (-1::bigint)) as asked(user_id)
+where user_id not in (select user_id from user_interactions)"""
+
 QUERIES = [
     Query("serve_requests", serve_requests, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
+    Query("serve_stream", serve_stream_requests, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
+    Query("unseen_items", unseen_items_of_users, ask(UI, then=UNSEEN)),
+    Query("history_of_users", history_of_users, ask(UI, then=HISTORY)),
     Query(
         "list_users",
         lambda s, d: J.ids_with_total(fx.user_interactions(s, d), "user_id"),

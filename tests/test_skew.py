@@ -38,3 +38,27 @@ def test_velocity_border(spark, hot_rows):
         assert got == {(1, 11, 1), (2, 10, 0)}
     rfm = {(r["user_id"], r["user_total_spend"], r["user_avg_order"]) for r in windows.velocity_and_rfm(df, hot_rows).collect()}
     assert rfm == {(1, 110.0, 10.0), (2, 100.0, 10.0)}
+
+
+def test_hot_unknown_user_and_missing_product_are_spread(spark, monkeypatch):
+    """Sizes come from the rows, so a key that the other side lacks is found hot as well."""
+    from pasarlens.operators import skew
+    from pasarlens.operators.joins import enrich
+    from pasarlens.operators.recommend import answer_requests
+
+    found = []
+    plain = skew.join_stats
+
+    def seen(rows, stats, keys, size, *args, **more):
+        found.append({r[keys[0]]: r[size] for r in stats.collect()})
+        return plain(rows, stats, keys, size, *args, **more)
+
+    monkeypatch.setattr("pasarlens.operators.recommend.join_stats", seen)
+    monkeypatch.setattr("pasarlens.operators.joins.join_stats", seen)
+    asked = spark.createDataFrame([(i, '{"user_id": "bot"}') for i in range(40)], "request_id long, body string")
+    lists = spark.createDataFrame([("a", [1])], "user_id string, recommendations array<long>")
+    assert answer_requests(asked, lists, "2024-02-01").where("status = 200").count() == 40
+    recs = spark.createDataFrame([(i, 77) for i in range(30)], "user_id long, product_id long")
+    goods = spark.createDataFrame([(1, "n", "c", 1.0)], "product_id long, product_name string, category string, final_price_idr double")
+    assert enrich(recs, goods).where("product_name is null").count() == 30
+    assert found == [{"bot": 40}, {77: 30}]
