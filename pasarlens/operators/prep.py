@@ -7,22 +7,23 @@ import random
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from pasarlens.functions import features as X
 from pasarlens.functions.text import terms, words
-from pasarlens.operators.joins import rows_of_groups
-from pasarlens.operators.ranking import global_position, rank_cuts
+from pasarlens.operators.joins import mark_groups
+from pasarlens.operators.ranking import global_position, rank_cuts, rank_in_group
 from pasarlens.operators.skew import join_stats
 from pasarlens.operators.topk import top_n, topk
 from pasarlens.session import stage
 
 # Largest dictionary (rows) that is broadcast; a bigger one is joined with a shuffle.
 SMALL_DICTIONARY = 200_000
-# Labels are classes, not ids: more distinct values than this is an error.
-MAX_CLASSES = 1_000
+# Up to so many classes are handled by literals in the plan; more by joins, with the same result.
+FEW_CLASSES = 200
 
 # ------------------------------------------------------------------ codes
 
@@ -50,7 +51,7 @@ def encode_ids(
         dictionary = id_codes(rows, column)
         dictionaries[column] = dictionary
         lookup = dictionary.select(
-            F.col("value").alias(column), F.col("code").cast("int").alias(name), "n_rows"
+            F.col("value").alias(column), F.col("code").alias(name), "n_rows"
         )
         encoded = join_stats(
             encoded, lookup, [column], "n_rows", spread_by[column], how="inner", ready=True
@@ -80,21 +81,31 @@ def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def encode_categories(
-    df: DataFrame, columns: Sequence[str], spread_by: Sequence[str], suffix: str = "_code"
+    df: DataFrame,
+    columns: Sequence[str],
+    spread_by: Sequence[str],
+    suffix: str = "_code",
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
-    """Add a whole-number code per text column; a null value gets a null code."""
-    dictionary = category_codes(df, columns)
-    small = dictionary.count() <= SMALL_DICTIONARY
+    """Add a whole-number code per text column; a null value gets a null code.
+
+    ``dictionary`` is one that ``category_codes`` made earlier; a value it lacks gets the code -1.
+    """
+    known = category_codes(df, columns) if dictionary is None else dictionary
+    small = known.count() <= SMALL_DICTIONARY
     encoded = df
     for column in columns:
-        lookup = dictionary.where(F.col("column") == column).select(
-            F.col("value").alias("_value"), F.col("code").cast("int").alias(column + suffix), "n_rows"
+        name = column + suffix
+        lookup = known.where(F.col("column") == column).select(
+            F.col("value").alias("_value"), F.col("code").alias(name), "n_rows"
         )
         encoded = encoded.withColumn("_value", F.col(column).cast("string"))
         if small:
             encoded = encoded.join(F.broadcast(lookup.drop("n_rows")), "_value", "left")
         else:
             encoded = join_stats(encoded, lookup, ["_value"], "n_rows", spread_by, ready=True).drop("n_rows")
+        if dictionary is not None:
+            encoded = encoded.withColumn(name, F.coalesce(name, F.when(F.col("_value").isNotNull(), F.lit(-1))))
         encoded = encoded.drop("_value")
     return encoded
 
@@ -125,20 +136,27 @@ def random_split(
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str | None, test_share: float, seed: int, name: str = "is_train"
+    df: DataFrame,
+    key: str,
+    label: str | None,
+    test_share: float,
+    seed: int,
+    name: str = "is_train",
+    few_classes: int = FEW_CLASSES,
 ) -> DataFrame:
     """Mark an exact share of each class as test rows.
 
     The border of each class in hash order is found by counting passes over the key
-    column; the split itself is a comparison with literals and moves no rows.
+    column; the split itself is a comparison with literals and moves no rows.  With very many
+    classes the rows are ranked within their class instead.
     """
     first, second = shuffle_key(F.col(key), seed)
     narrow = df.select(
         first.alias("_h1"), second.alias("_h2"), (F.col(label) if label else F.lit(0)).alias("_class")
     )
-    counts = narrow.groupBy("_class").count().limit(MAX_CLASSES + 1).collect()
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+    counts = narrow.groupBy("_class").count().limit(few_classes + 1).collect()
+    if len(counts) > few_classes:
+        return _split_by_rank(df, key, label, test_share, seed, name)
     borders = []
     for row in counts:
         trained = row["count"] - test_rows(row["count"], test_share)
@@ -158,13 +176,23 @@ def stratified_split(
     return df.withColumn(name, split.cast("int") if split is not None else F.lit(None).cast("int"))
 
 
+def _split_by_rank(df: DataFrame, key: str, label: str, test_share: float, seed: int, name: str) -> DataFrame:
+    first, second = shuffle_key(F.col(key), seed)
+    hashed = stage(df.withColumns({"_h1": first, "_h2": second}), "to-split")
+    ranked = rank_in_group(hashed, [label], ["_h1", "_h2"], key, "_place")
+    sizes = hashed.groupBy(label).agg(F.count(F.lit(1)).alias("_rows"))
+    joined = join_stats(ranked, sizes, [label], "_rows", [key], null_safe=True)
+    trained = F.col("_rows") - F.ceil(F.lit(test_share) * F.col("_rows"))
+    return joined.withColumn(name, (F.col("_place") <= trained).cast("int")).drop("_h1", "_h2", "_place", "_rows")
+
+
 def parts(marked: DataFrame, name: str = "is_train") -> tuple[DataFrame, DataFrame]:
     return marked.where(F.col(name) == 1).drop(name), marked.where(F.col(name) == 0).drop(name)
 
 
 def train_groups(df: DataFrame, group: str, test_share: float, seed: int) -> DataFrame:
     """Groups chosen for training: whole groups, an exact share of them."""
-    groups = df.select(group).where(F.col(group).isNotNull()).distinct()
+    groups = stage(df.select(group).where(F.col(group).isNotNull()).distinct(), "groups")
     return random_split(groups, group, test_share, seed).where("is_train = 1").select(group)
 
 
@@ -172,35 +200,27 @@ def group_split(
     df: DataFrame, group: str, test_share: float, seed: int, spread_by: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows such that no group is in both."""
-    chosen = stage(train_groups(df, group, test_share, seed), "train-groups")
-    return (
-        rows_of_groups(df, chosen, group, True, spread_by),
-        rows_of_groups(df, chosen, group, False, spread_by),
-    )
+    chosen = train_groups(df, group, test_share, seed)
+    marked = stage(mark_groups(df, chosen, group, spread_by), "split")
+    return marked.where("_inside").drop("_inside"), marked.where("NOT _inside").drop("_inside")
 
 
 # ------------------------------------------------------------------ weights
 
 
-def class_counts(df: DataFrame, label: str) -> dict[object, int]:
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
-    return {row[label]: row["count"] for row in counts}
-
-
 def with_class_weight(df: DataFrame, label: str, mode: str = "balanced", name: str = "weight") -> DataFrame:
     """Weight per row: ``balanced`` = rows / (classes * class rows); ``positive`` = the
-    negatives per positive for class 1 and 1 for class 0."""
-    counts = class_counts(df, label)
-    if mode == "balanced":
-        weights = {c: sum(counts.values()) / (len(counts) * n) for c, n in counts.items()}
-    else:
-        weights = {0: 1.0, 1: counts.get(0, 0) / counts[1] if counts.get(1) else 1.0}
-    weight = None
-    for c, w in weights.items():
-        weight = (F if weight is None else weight).when(F.col(label) == F.lit(c), F.lit(float(w)))
-    return df.withColumn(name, weight if weight is not None else F.lit(1.0))
+    negatives per positive for class 1 and 1 for class 0.  A null label has no weight."""
+    labelled = F.col(label).isNotNull()
+    if mode == "positive":
+        ones, zeros = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
+        positive = zeros / ones if ones else 1.0
+        weight = F.when(F.col(label) == 0, F.lit(1.0)).when(F.col(label) == 1, F.lit(float(positive)))
+        return df.withColumn(name, weight)
+    sizes = stage(df.where(labelled).groupBy(label).agg(F.count(F.lit(1)).alias("_rows")), "classes")
+    classes, rows = sizes.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    joined = join_stats(df, sizes, [label], "_rows", [c for c in df.columns if c != label][:1], ready=True)
+    return joined.withColumn(name, F.lit(float(rows or 0)) / (F.lit(float(classes)) * F.col("_rows"))).drop("_rows")
 
 
 # ------------------------------------------------------------------ text
@@ -248,52 +268,65 @@ def vocabulary(documents: DataFrame, max_features: int, min_df: int) -> DataFram
     return top_n(counts.where(F.col("df") >= min_df), [F.desc("total"), F.asc("term")], max_features)
 
 
-def tfidf(
-    df: DataFrame, key: str, text: str, max_features: int = 3000, min_df: int = 5
-) -> DataFrame:
-    """Rows (key, term, weight): (1 + ln tf) * (ln((1+n)/(1+df)) + 1), unit length per document.
+def fit_text(df: DataFrame, key: str, text: str, max_features: int = 3000, min_df: int = 5) -> DataFrame:
+    """The fitted vocabulary, stored: term, code (in term order) and idf; ``max_features`` rows at most."""
+    return _fit_text(tokenized(df, key, text), max_features, min_df)
 
-    The vocabulary is broadcast: it has ``max_features`` rows at most.  A document then has
-    no more rows than the vocabulary, which bounds the window.
-    """
-    documents = tokenized(df, key, text)
+
+def _fit_text(documents: DataFrame, max_features: int, min_df: int) -> DataFrame:
     rows = documents.agg(F.count(F.lit(1))).scalar()
-    kept = vocabulary(documents, max_features, min_df).select(
-        "term", (F.log((1.0 + rows) / (1.0 + F.col("df"))) + 1.0).alias("idf")
-    )
+    idf = (F.log((1.0 + rows) / (1.0 + F.col("df"))) + 1.0).alias("idf")
+    place = F.row_number().over(Window.orderBy("term")) - 1  # of the bounded vocabulary
+    return stage(vocabulary(documents, max_features, min_df).select("term", place.cast("int").alias("code"), idf), "vocabulary")
+
+
+def _weights(documents: DataFrame, key: str, fitted: DataFrame) -> DataFrame:
     counts = (
         term_rows(documents.repartition(key), key)  # one shuffle serves count and length
-        .join(F.broadcast(kept), "term")
+        .join(F.broadcast(fitted), "term")
         .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))
+        .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"), F.first("code").alias("code"))
     )
     raw = (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf")
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return counts.withColumn("raw", raw).select(key, "term", (F.col("raw") / length).alias("weight"))
+    return counts.withColumn("raw", raw).select(key, "term", "code", (F.col("raw") / length).alias("weight"))
+
+
+def tfidf(
+    df: DataFrame, key: str, text: str, max_features: int = 3000, min_df: int = 5
+) -> DataFrame:
+    """Rows (key, term, weight): (1 + ln tf) * (ln((1+n)/(1+df)) + 1), unit length per document.
 
+    The vocabulary is broadcast: it has ``max_features`` rows at most.  A document then has
+    no more rows than the vocabulary, which bounds the window.
+    """
+    documents = tokenized(df, key, text)
+    return _weights(documents, key, _fit_text(documents, max_features, min_df)).drop("code")
 
-@F.udf(VectorUDT())
-def _sparse(size, cells):
-    return SparseVector(size, {c["code"]: c["weight"] for c in cells or []})
 
+def text_vectors(df: DataFrame, key: str, text: str, fitted: DataFrame) -> DataFrame:
+    """TF-IDF as one sparse vector per document, by a fitted vocabulary (see ``fit_text``).
 
-def text_vectors(df: DataFrame, key: str, text: str, max_features: int = 3000, min_df: int = 5) -> DataFrame:
-    """TF-IDF as one sparse vector per document (a document lists its own terms only)."""
-    weights = stage(tfidf(df, key, text, max_features, min_df), "tfidf")
-    order = global_position(weights.select("term").distinct(), ["term"], "code").withColumn(
-        "code", F.col("code").cast("int")
-    )
-    width = F.greatest(F.lit(1), order.agg(F.count(F.lit(1)).cast("int")).scalar())
+    A document lists its own terms only; terms that the vocabulary lacks do not count.
+    """
+    width = F.greatest(F.lit(1), fitted.agg(F.count(F.lit(1)).cast("int")).scalar())
     cells = (
-        weights.join(F.broadcast(order), "term")
+        _weights(tokenized(df, key, text), key, fitted)
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("code", "weight"))).alias("cells"))
     )
-    return (
-        df.join(cells, key, "left")
-        .withColumn("text_vector", _sparse(width, F.col("cells")))
-        .drop("cells")
+    # the stored form of a sparse vector, read back as one: no Python worker takes part
+    none = F.array().cast("array<struct<code:int,weight:double>>")
+    listed = F.coalesce("cells", none)
+    sparse = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        width.cast("int").alias("size"),
+        F.transform(listed, lambda c: c["code"]).alias("indices"),
+        F.transform(listed, lambda c: c["weight"]).alias("values"),
     )
+    rows = df.join(cells, key, "left").withColumn("text_vector", sparse).drop("cells")
+    vectors = StructType([*rows.schema.fields[:-1], StructField("text_vector", VectorUDT())])
+    return stage(rows, "text-vectors", vectors)
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], output: str = "features") -> DataFrame:
@@ -357,9 +390,9 @@ def smote(
     A new row lies between a minority row and one of its near neighbours.  Returns the
     key, features and label of all rows, with ``is_synthetic``; new rows have a null key.
     """
-    counts = class_counts(df, label)
-    few = counts.get(minority, 0)
-    many = max((n for c, n in counts.items() if c != minority), default=0)
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    own = F.col(label) == F.lit(minority)
+    few, many = (v or 0 for v in sizes.agg(F.max(F.when(own, F.col("n"))), F.max(F.when(~own, F.col("n")))).first())
     missing = int(ratio * many) - few
     kept = df.select(key, *columns, label).withColumn("is_synthetic", F.lit(0))
     if missing <= 0 or few < 2:

@@ -95,8 +95,8 @@ QUERIES = [
     Query(
         "id_encode",
         id_encode,
-        ask(STACKED, then="""select *, cast(dense_rank() over (order by user_id) - 1 as int) as user_idx,
-          cast(dense_rank() over (order by product_id) - 1 as int) as product_idx from cells"""),
+        ask(STACKED, then="""select *, dense_rank() over (order by user_id) - 1 as user_idx,
+          dense_rank() over (order by product_id) - 1 as product_idx from cells"""),
     ),
     Query("group_split_semi", _queries_split(True), ask(GROUPS, then="select log_id, query from sl where query in (select query from train)")),
     Query("group_split_anti", _queries_split(False), ask(GROUPS, then="select log_id, query from sl where query not in (select query from train)")),

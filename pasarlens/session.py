@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings the jobs rely on.  Nothing here is sized for one machine: shuffle partition
 # counts are an upper bound that adaptive execution merges down.
@@ -55,13 +56,15 @@ def clear_staging(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
+    ``schema`` reads it back with types that are stored alike, such as vectors.
+
     Cuts the lineage (a lost executor re-reads a file instead of redoing the shuffles
     above it), freezes values such as row positions, and lets later passes prune columns.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)

@@ -49,4 +49,4 @@ def write_matrix(matrix: DataFrame, path: str) -> None:
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("user_idx int, product_idx int, n_events long").parquet(path)
+    return spark.read.schema("user_idx long, product_idx long, n_events long").parquet(path)
