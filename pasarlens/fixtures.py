@@ -84,6 +84,7 @@ def user_profiles(spark: SparkSession, folder: str) -> DataFrame:
     nations = table(spark, folder, "nation").select("n_nationkey", F.lower("n_name").alias("city"))
     user = F.col("c_custkey")
     recency = F.datediff(as_of, F.to_date("last_order"))
+    chance = (user * 7919 % 1000) / 1000.0
     return (
         table(spark, folder, "customer")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -109,8 +110,9 @@ def user_profiles(spark: SparkSession, folder: str) -> DataFrame:
             (1.0 + user % 12).alias("avg_pages_per_session"),
             F.concat(F.lit("device"), (user % 3).cast("string")).alias("preferred_device"),
             F.concat(F.lit("channel"), (user % 4).cast("string")).alias("acquisition_channel"),
-            (recency > 180).cast("int").alias("is_churned"),
-            F.col("total_spend_idr").alias("ltv_idr"),
+            # outcomes follow the features only in part: half of what decides them is no feature
+            (recency + 240.0 * chance > 300.0).cast("int").alias("is_churned"),
+            (F.col("total_spend_idr") * (0.6 + 0.8 * chance)).alias("ltv_idr"),
         )
     )
 
@@ -148,7 +150,7 @@ def product_catalog(spark: SparkSession, folder: str) -> DataFrame:
             (100 + part % 900).cast("int").alias("weight_gram"),
             (part % 7 == 0).cast("int").alias("is_digital"),
             (part % 3 == 0).cast("int").alias("is_imported"),
-            (sold > 30).cast("int").alias("is_trending"),
+            (sold + 20.0 * (part * 7919 % 1000) / 1000.0 > 40.0).cast("int").alias("is_trending"),
             (sold / (10 * sold + F.col("p_size"))).alias("click_through_rate"),
             (sold / (20 * sold + part % 40 + 1)).alias("conversion_rate"),
         )

@@ -81,9 +81,14 @@ SEARCH_NUMBERS = (
 SEARCH_TEXTS = ("sort_by", "platform", "filter_category")
 
 
+# Boosting stops when this share of the training rows, held back by a hash of the key, gains no more.
+VALIDATION_SHARE = 0.1
+VALIDATION = "is_validation"
+
+
 @dataclass(frozen=True)
 class Budget:
-    """How long to train: trees, depth, step, and the size of the parameter search."""
+    """How long to train at most: trees, depth, step, and the size of the parameter search."""
 
     trees: int = 400
     depth: int = 6
@@ -102,6 +107,40 @@ class Result:
     predictions: DataFrame
     metrics: dict[str, float]
     features: list[str] = field(default_factory=list)
+    recipe: Recipe | None = None
+    best: dict[str, float] = field(default_factory=dict)  # parameters a search has chosen
+
+
+@dataclass
+class Recipe:
+    """How raw rows become features: what has to be saved next to the model."""
+
+    key: str
+    numbers: list[str]
+    texts: list[str]
+    tables: dict[str, DataFrame] = field(default_factory=dict)  # dictionaries and vocabulary
+
+    def apply(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Feature columns of new rows; rows that lack a value are left out, as in training."""
+        if "vocabulary" in self.tables:
+            kept = df.dropna(subset=["review_text"]).fillna(0, subset=self.numbers)
+            chosen = stage(kept.select(self.key, "review_text", *self.numbers), "new-rows")
+            vectors = prep.text_vectors(chosen, self.key, "review_text", self.tables["vocabulary"])
+            return vectors.drop("review_text"), [*self.numbers, "text_vector"]
+        rows = df.select(self.key, *self.numbers, *self.texts).dropna()
+        if self.texts:
+            rows = prep.encode_categories(rows, self.texts, [self.key], dictionary=self.tables["categories"])
+        names = [*self.numbers, *[code(t) for t in self.texts]]
+        return rows.select(self.key, *[F.col(c).cast("double").alias(c) for c in names]), names
+
+
+@dataclass
+class Prepared:
+    """Complete rows with numeric features, their names, and the recipe that made them."""
+
+    rows: DataFrame
+    names: list[str]
+    recipe: Recipe
 
 
 def code(column: str) -> str:
@@ -110,13 +149,17 @@ def code(column: str) -> str:
 
 def prepared(
     df: DataFrame, key: str, numbers: Sequence[str], texts: Sequence[str], labels: Sequence[str]
-) -> tuple[DataFrame, list[str]]:
+) -> Prepared:
     """Needed columns, complete rows, text columns as codes; written once for training."""
     rows = df.select(key, *numbers, *texts, *labels).dropna()
-    coded = prep.encode_categories(rows, texts, [key]) if texts else rows
+    recipe = Recipe(key, list(numbers), list(texts))
+    if texts:
+        rows = stage(rows, "complete")
+        recipe.tables["categories"] = stage(prep.category_codes(rows, texts), "categories")
+        rows = prep.encode_categories(rows, texts, [key], dictionary=recipe.tables["categories"])
     names = [*numbers, *[code(t) for t in texts]]
-    kept = coded.select(key, *[F.col(c).cast("double").alias(c) for c in names], *labels)
-    return stage(kept, "prepared"), names
+    kept = rows.select(key, *[F.col(c).cast("double").alias(c) for c in names], *labels)
+    return Prepared(stage(kept, "prepared"), names, recipe)
 
 
 def split(
@@ -125,6 +168,12 @@ def split(
     return prep.parts(prep.stratified_split(df, key, label, share, SEED))
 
 
+def held_back(train: DataFrame, key: str) -> DataFrame:
+    """Mark the rows that tell boosting when to stop; made-up rows (without a key) never do."""
+    share = prep.shuffle_share(F.col(key), SEED + 1)
+    return train.withColumn(VALIDATION, F.col(key).isNotNull() & (share < VALIDATION_SHARE))
+
+
 def fit_scored(
     estimator: Estimator, train: DataFrame, test: DataFrame, names: Sequence[str]
 ) -> tuple[Model, DataFrame]:
@@ -159,6 +208,7 @@ def boosted_classifier(label: str, budget: Budget, weighted: bool) -> GBTClassif
         maxDepth=budget.depth,
         stepSize=budget.step,
         subsamplingRate=budget.sample,
+        validationIndicatorCol=VALIDATION,
         seed=SEED,
     )
     return model.setWeightCol("weight") if weighted else model
@@ -171,19 +221,25 @@ def boosted_regressor(label: str, budget: Budget) -> GBTRegressor:
         maxDepth=budget.depth,
         stepSize=budget.step,
         subsamplingRate=budget.sample,
+        validationIndicatorCol=VALIDATION,
         seed=SEED,
     )
 
 
+def best_parameters(search) -> dict[str, float]:
+    best = max(range(len(search.avgMetrics)), key=lambda i: search.avgMetrics[i] * (1 if search.getEvaluator().isLargerBetter() else -1))
+    return {p.name: float(v) for p, v in search.getEstimatorParamMaps()[best].items()}
+
+
 # ------------------------------------------------------------------ user tasks
 
 
-def churn(users: DataFrame, budget: Budget = Budget(), space: dict = CHURN_SPACE, leave_out: Sequence[str] = ()) -> Result:
+def churn(users: DataFrame, budget: Budget = Budget(), space: dict = CHURN_SPACE) -> Result:
     """Will the user leave; parameters found by random search on the area under ROC."""
-    numbers = [c for c in USER_NUMBERS if c not in leave_out]
-    rows, names = prepared(users, "user_id", numbers, USER_TEXTS, ["is_churned"])
+    ready = prepared(users, "user_id", USER_NUMBERS, USER_TEXTS, ["is_churned"])
+    rows, names = ready.rows, ready.names
     train, test = split(rows, "user_id", "is_churned")
-    weighted = prep.assemble(prep.with_class_weight(train, "is_churned", "positive"), names)
+    weighted = prep.assemble(prep.with_class_weight(held_back(train, "user_id"), "is_churned", "positive"), names)
     shared_folder(users.sparkSession)
     search = random_search(
         weighted,
@@ -198,12 +254,13 @@ def churn(users: DataFrame, budget: Budget = Budget(), space: dict = CHURN_SPACE
     predictions = scored(search.bestModel, prep.assemble(test, names))
     found = classifier_metrics(predictions, "is_churned", binary=True)
     found["best_cv_auc"] = max(search.avgMetrics)
-    return Result("churn-prediction", search.bestModel, predictions, found, names)
+    return Result("churn-prediction", search.bestModel, predictions, found, names, ready.recipe, best_parameters(search))
 
 
 def segmentation(users: DataFrame, budget: Budget = Budget(trees=500, sample=0.8)) -> Result:
     """Which segment a user belongs to.  Spark boosts two classes only, so a forest votes."""
-    rows, names = prepared(users, "user_id", USER_NUMBERS, USER_TEXTS, ["user_segment"])
+    ready = prepared(users, "user_id", USER_NUMBERS, USER_TEXTS, ["user_segment"])
+    rows, names = ready.rows, ready.names
     coded = prep.encode_categories(rows, ["user_segment"], ["user_id"])
     train, test = split(stage(coded, "segments"), "user_id", "user_segment")
     label = code("user_segment")
@@ -216,17 +273,18 @@ def segmentation(users: DataFrame, budget: Budget = Budget(trees=500, sample=0.8
         seed=SEED,
     )
     model, predictions = fit_scored(forest, train, test, names)
-    return Result("user-segmentation", model, predictions, classifier_metrics(predictions, label, False), names)
+    return Result("user-segmentation", model, predictions, classifier_metrics(predictions, label, False), names, ready.recipe)
 
 
 def ltv(users: DataFrame, budget: Budget = Budget(), space: dict = LTV_SPACE) -> Result:
     """Value of the user, learnt on the log scale and scored on the money scale."""
-    rows, names = prepared(users, "user_id", USER_NUMBERS, USER_TEXTS, ["ltv_idr"])
-    rows = rows.withColumn("log_ltv", X.log_target(F.col("ltv_idr")))
+    ready = prepared(users, "user_id", USER_NUMBERS, USER_TEXTS, ["ltv_idr"])
+    names = ready.names
+    rows = ready.rows.withColumn("log_ltv", X.log_target(F.col("ltv_idr")))
     train, test = split(rows, "user_id", None)
     shared_folder(users.sparkSession)
     search = random_search(
-        prep.assemble(train, names),
+        prep.assemble(held_back(train, "user_id"), names),
         "user_id",
         boosted_regressor("log_ltv", budget),
         RegressionEvaluator(labelCol="log_ltv", metricName="rmse"),
@@ -239,7 +297,7 @@ def ltv(users: DataFrame, budget: Budget = Budget(), space: dict = LTV_SPACE) ->
         "predicted_ltv", X.from_log_target(F.col("prediction"))
     )
     found = regressor_metrics(predictions, "ltv_idr", "predicted_ltv")
-    return Result("ltv-prediction", search.bestModel, predictions, found, names)
+    return Result("ltv-prediction", search.bestModel, predictions, found, names, ready.recipe, best_parameters(search))
 
 
 # ------------------------------------------------------------------ transactions
@@ -250,22 +308,23 @@ def fraud(
 ) -> Result:
     """Is the transaction fraud; rare positives are topped up in the training part only."""
     key, label = "transaction_id", "is_fraud"
-    rows, names = prepared(transactions, key, FRAUD_NUMBERS, FRAUD_TEXTS, [label])
+    ready = prepared(transactions, key, FRAUD_NUMBERS, FRAUD_TEXTS, [label])
+    rows, names = ready.rows, ready.names
     train, test = split(rows, key, label)
     balanced = stage(prep.smote(train, key, label, names, ratio, seed=SEED), "balanced")
-    model, predictions = fit_scored(boosted_classifier(label, budget, False), balanced, test, names)
+    model, predictions = fit_scored(boosted_classifier(label, budget, False), held_back(balanced, key), test, names)
     found = classifier_metrics(predictions, label, binary=True)
     precision_recall = BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol="score", metricName="areaUnderPR", numBins=0
     )
     found["auc_pr"] = precision_recall.evaluate(predictions)
-    return Result("fraud-detection", model, predictions, found, names)
+    return Result("fraud-detection", model, predictions, found, names, ready.recipe)
 
 
 # ------------------------------------------------------------------ reviews
 
 
-def review_rows(reviews: DataFrame, max_features: int = 3000, min_df: int = 5) -> tuple[DataFrame, list[str]]:
+def review_rows(reviews: DataFrame, max_features: int = 3000, min_df: int = 5) -> Prepared:
     """Reviews with their text vector, class code and numbers (missing numbers count as 0)."""
     usable = reviews.dropna(subset=["review_text", "rating", "sentiment"])
     kept = stage(
@@ -274,56 +333,58 @@ def review_rows(reviews: DataFrame, max_features: int = 3000, min_df: int = 5) -
         ),
         "reviews",
     )
-    vectors = prep.text_vectors(kept, "review_id", "review_text", max_features, min_df)
+    fitted = prep.fit_text(kept, "review_id", "review_text", max_features, min_df)
+    vectors = prep.text_vectors(kept, "review_id", "review_text", fitted)
     coded = prep.encode_categories(vectors.drop("review_text"), ["sentiment"], ["review_id"])
-    return stage(coded, "review-vectors"), [*REVIEW_NUMBERS, "text_vector"]
+    recipe = Recipe("review_id", list(REVIEW_NUMBERS), [], {"vocabulary": fitted})
+    return Prepared(stage(coded, "review-vectors"), [*REVIEW_NUMBERS, "text_vector"], recipe)
 
 
-def sentiment(prepared_reviews: tuple[DataFrame, list[str]], iterations: int = 100) -> Result:
+def sentiment(ready: Prepared, iterations: int = 100) -> Result:
     """Class of the review from its words, all classes weighing the same in total."""
-    rows, names = prepared_reviews
-    train, test = split(rows, "review_id", "sentiment")
+    train, test = split(ready.rows, "review_id", "sentiment")
     label = code("sentiment")
     classifier = LogisticRegression(
         labelCol=label, weightCol="weight", family="multinomial", maxIter=iterations, regParam=0.01
     )
-    model, predictions = fit_scored(classifier, prep.with_class_weight(train, label), test, names)
-    return Result("review-sentiment", model, predictions, classifier_metrics(predictions, label, False))
+    model, predictions = fit_scored(classifier, prep.with_class_weight(train, label), test, ready.names)
+    found = classifier_metrics(predictions, label, False)
+    return Result("review-sentiment", model, predictions, found, ready.names, ready.recipe)
 
 
-def rating(prepared_reviews: tuple[DataFrame, list[str]], iterations: int = 100) -> Result:
+def rating(ready: Prepared, iterations: int = 100) -> Result:
     """Rating of the review; features and target come from one split."""
-    rows, names = prepared_reviews
-    train, test = split(rows, "review_id", "sentiment")
+    train, test = split(ready.rows, "review_id", "sentiment")
     regressor = LinearRegression(labelCol="rating", maxIter=iterations, regParam=0.1, solver="l-bfgs")
-    model, predictions = fit_scored(regressor, train, test, names)
+    model, predictions = fit_scored(regressor, train, test, ready.names)
     whole = predictions.withColumn("predicted_rating", X.clip_round_rating(F.col("prediction")))
-    return Result("review-rating", model, whole, regressor_metrics(whole, "rating", "predicted_rating"))
+    found = regressor_metrics(whole, "rating", "predicted_rating")
+    return Result("review-rating", model, whole, found, ready.names, ready.recipe)
 
 
 # ------------------------------------------------------------------ products
 
 
-def product_rows(products: DataFrame) -> tuple[DataFrame, list[str]]:
+def product_rows(products: DataFrame) -> Prepared:
     labels = ["is_trending", "click_through_rate", "conversion_rate"]
     return prepared(products, "product_id", PRODUCT_NUMBERS, PRODUCT_TEXTS, labels)
 
 
-def trending(prepared_products: tuple[DataFrame, list[str]], budget: Budget = Budget()) -> Result:
-    rows, names = prepared_products
+def trending(ready: Prepared, budget: Budget = Budget()) -> Result:
+    rows, names = ready.rows, ready.names
     train, test = split(rows, "product_id", "is_trending")
-    model, predictions = fit_scored(boosted_classifier("is_trending", budget, False), train, test, names)
+    model, predictions = fit_scored(boosted_classifier("is_trending", budget, False), held_back(train, "product_id"), test, names)
     found = classifier_metrics(predictions, "is_trending", binary=True)
-    return Result("product-trending", model, predictions, found, names)
+    return Result("product-trending", model, predictions, found, names, ready.recipe)
 
 
-def product_rate(prepared_products: tuple[DataFrame, list[str]], label: str, budget: Budget = Budget()) -> Result:
+def product_rate(ready: Prepared, label: str, budget: Budget = Budget()) -> Result:
     """Click-through or conversion rate of a product."""
-    rows, names = prepared_products
+    rows, names = ready.rows, ready.names
     train, test = split(rows, "product_id", None)
-    model, predictions = fit_scored(boosted_regressor(label, budget), train, test, names)
+    model, predictions = fit_scored(boosted_regressor(label, budget), held_back(train, "product_id"), test, names)
     name = "product-" + label.replace("_", "-")
-    return Result(name, model, predictions, regressor_metrics(predictions, label), names)
+    return Result(name, model, predictions, regressor_metrics(predictions, label), names, ready.recipe)
 
 
 # ------------------------------------------------------------------ searches
@@ -334,10 +395,12 @@ def search_ctr(searches: DataFrame, budget: Budget = Budget(trees=500, depth=7))
     filled = searches.withColumn("filter_category", F.coalesce("filter_category", F.lit("none")))
     # rows without a known purchase flag are left out too, as in the ranking task
     usable = filled.dropna(subset=["has_purchase"])
-    rows, names = prepared(usable, "log_id", SEARCH_NUMBERS, SEARCH_TEXTS, ["is_clicked"])
+    ready = prepared(usable, "log_id", SEARCH_NUMBERS, SEARCH_TEXTS, ["is_clicked"])
+    rows, names = ready.rows, ready.names
     train, test = split(rows, "log_id", "is_clicked")
-    weighted = prep.with_class_weight(train, "is_clicked")
+    weighted = prep.with_class_weight(held_back(train, "log_id"), "is_clicked")
     model, predictions = fit_scored(boosted_classifier("is_clicked", budget, True), weighted, test, names)
-    return Result("search-ctr", model, predictions, classifier_metrics(predictions, "is_clicked", True), names)
+    found = classifier_metrics(predictions, "is_clicked", True)
+    return Result("search-ctr", model, predictions, found, names, ready.recipe)
 
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pasarlens.models import ranker, recommender, tasks
 from pasarlens.models.tasks import Budget, Result
 from pasarlens.models.tuning import CHURN_SPACE, LTV_SPACE
 from pasarlens.operators.aggregates import matrix_stats
-from pasarlens.sources.model_store import model_registry, save_model, write_registry
+from pasarlens.operators import prep
+from pasarlens.sources.model_store import load_model, model_registry, save_model, saved_models, write_registry
 from pasarlens.sources.sinks import write_matrix
 
 # Registry lines - task, model family, metric shown.
@@ -27,7 +30,7 @@ REGISTRY = {
     "product-conversion-rate": ("CVR Prediction", "Boosted regression trees", "r2"),
     "search-ctr": ("Search CTR", "Boosted trees", "auc"),
     "collaborative-filtering": ("Collaborative Filter", "ALS on scores", "mse"),
-    "search-ranking": ("Search Ranking", "Pairwise least-squares ranker", "ndcg@10"),
+    "search-ranking": ("Search Ranking", "Boosted trees on centred relevance", "ndcg@10"),
 }
 METRIC_NAMES = {"auc": "AUC", "f1_weighted": "F1", "r2": "R2", "mse": "MSE", "ndcg@10": "NDCG@10"}
 
@@ -36,7 +39,7 @@ METRIC_NAMES = {"auc": "AUC", "f1_weighted": "F1", "r2": "R2", "mse": "MSE", "nd
 class Plan:
     """How much to train; the defaults follow the reported sizes of the tasks."""
 
-    budget: Budget = Budget()
+    budget: Budget | None = None  # one for all tasks; none: the defaults of each
     churn_space: Mapping = None
     ltv_space: Mapping = None
     text_iterations: int = 100
@@ -69,6 +72,30 @@ def collaborative_filter(interactions: DataFrame, plan: Plan = Plan()) -> tuple[
     return Result("collaborative-filtering", model, model.transform(test), {"mse": best}), curve
 
 
+def save_result(spark: SparkSession, result: Result, root: str, saved_at: str) -> str:
+    """The model with its metrics, best parameters, and all that preparing new rows needs."""
+    notes = {"features": result.features, "best_parameters": result.best}
+    recipe = result.recipe
+    if recipe:
+        notes |= {"key": recipe.key, "numbers": recipe.numbers, "texts": recipe.texts, "tables": list(recipe.tables)}
+    tables = recipe.tables if recipe else {}
+    return save_model(spark, result.model, result.name, result.metrics, root, saved_at, notes, tables)
+
+
+def score_new(spark: SparkSession, root: str, path: str, rows: DataFrame) -> DataFrame:
+    """Predictions of a saved model for new raw rows: the key, ``prediction`` and, of classes, ``score``.
+
+    The rows are prepared with the saved dictionaries and vocabulary; a category the training has
+    not seen has a code of its own (-1), and rows that lack a value are left out.
+    """
+    record = saved_models(spark, root).where(F.col("path") == path).first()
+    notes = {k: json.loads(v) for k, v in record["notes"].items()}
+    tables = {t: spark.read.parquet(f"{path}_{t}") for t in notes["tables"]}
+    features, names = tasks.Recipe(notes["key"], notes["numbers"], notes["texts"], tables).apply(rows)
+    found = tasks.scored(load_model(spark, path), prep.assemble(features, names))
+    return found.select(notes["key"], *[c for c in ("prediction", "score") if c in found.columns])
+
+
 def key_metric(result: Result) -> str:
     metric = REGISTRY[result.name][2]
     value = result.metrics.get(metric)
@@ -86,30 +113,28 @@ def train_all(
     root: str,
     saved_at: str,
     plan: Plan = Plan(),
-    churn_without: Sequence[str] = (),
 ) -> DataFrame:
     """Train, save and register every task; returns the registry (one line per task)."""
     texts = tasks.review_rows(reviews, plan.max_features, plan.min_df)
     goods = tasks.product_rows(products)
+    own = {"budget": plan.budget} if plan.budget else {}
     results = [
-        tasks.churn(users, plan.budget, plan.churn_space, churn_without),
-        tasks.segmentation(users, plan.budget),
-        tasks.ltv(users, plan.budget, plan.ltv_space),
-        tasks.fraud(transactions, plan.budget),
+        tasks.churn(users, space=plan.churn_space, **own),
+        tasks.segmentation(users, **own),
+        tasks.ltv(users, space=plan.ltv_space, **own),
+        tasks.fraud(transactions, **own),
         tasks.sentiment(texts, plan.text_iterations),
         tasks.rating(texts, plan.text_iterations),
-        tasks.trending(goods, plan.budget),
-        tasks.product_rate(goods, "click_through_rate", plan.budget),
-        tasks.product_rate(goods, "conversion_rate", plan.budget),
-        tasks.search_ctr(searches, plan.budget),
+        tasks.trending(goods, **own),
+        tasks.product_rate(goods, "click_through_rate", **own),
+        tasks.product_rate(goods, "conversion_rate", **own),
+        tasks.search_ctr(searches, **own),
         collaborative_filter(interactions, plan)[0],
-        ranker.search_rank(searches),
+        ranker.search_rank(searches, **own),
     ]
     lines = []
     for result in results:
-        path = save_model(
-            spark, result.model, result.name, result.metrics, root, saved_at, {"features": result.features}
-        )
+        path = save_result(spark, result, root, saved_at)
         task, family, _ = REGISTRY[result.name]
         lines.append({"task": task, "model": family, "key_metric": key_metric(result), "path": path})
     registry = model_registry(spark, lines)

@@ -85,8 +85,9 @@ user_profiles as (
          (60 + c_custkey % 600)::double as avg_session_duration_sec,
          (1 + c_custkey % 12)::double as avg_pages_per_session,
          'device' || (c_custkey % 3) as preferred_device, 'channel' || (c_custkey % 4) as acquisition_channel,
-         cast(date_diff('day', cast(last_order as date), date '2001-08-02') > 180 as int) as is_churned,
-         total_spend_idr as ltv_idr
+         cast(date_diff('day', cast(last_order as date), date '2001-08-02')
+           + 240.0::double * ((c_custkey * 7919 % 1000) / 1000.0::double) > 300.0::double as int) as is_churned,
+         total_spend_idr * (0.6::double + 0.8::double * ((c_custkey * 7919 % 1000) / 1000.0::double)) as ltv_idr
   from customer left join nation on c_nationkey = n_nationkey left join spending on c_custkey = buyer)"""
 
 UP_CLEAN = f"""{UP},
@@ -114,7 +115,7 @@ product_catalog as (
          cast(p_partkey % 40 as int) as stock_quantity, n as sales_last_30d,
          10 * n + p_size as views_last_30d, cast(p_partkey % 365 as int) as days_since_listed,
          cast(100 + p_partkey % 900 as int) as weight_gram, cast(p_partkey % 7 = 0 as int) as is_digital,
-         cast(p_partkey % 3 = 0 as int) as is_imported, cast(n > 30 as int) as is_trending,
+         cast(p_partkey % 3 = 0 as int) as is_imported, cast(n + 20.0::double * (p_partkey * 7919 % 1000) / 1000.0::double > 40.0::double as int) as is_trending,
          n / (10 * n + p_size) as click_through_rate,
          n / (20 * n + p_partkey % 40 + 1) as conversion_rate
   from catalog_base)"""

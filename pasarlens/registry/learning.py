@@ -2,37 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
+from functools import reduce
+
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pasarlens import fixtures as fx
 from pasarlens.models import ranker, recommender, tasks, tuning
-from pasarlens.models.tasks import Budget, Result
+from pasarlens.models.tasks import VALIDATION, Result
 from pasarlens.models.tuning import Range
 from pasarlens.operators import prep
 from pasarlens.operators.recommend import recommend, recommend_enriched
 from pasarlens.plans import etl, training
-from pasarlens.registry.base import PR, SL, TH, Query, ask, rnd
+from pasarlens.registry.aggregates import STACKED, STATS
+from pasarlens.registry.base import PC_CLEAN, PR, PR_CLEAN, SCORE, SL, TH, TH_CLEAN, UI, UP_CLEAN, Query, ask, rnd
 from pasarlens.session import stage, staging_path
 from pasarlens.sources.model_store import read_registry, save_model, saved_models
 
 SEED = 42
-# The registered trainings are short; the defaults of the tasks are the full sizes.
-SHORT = Budget(trees=8, depth=4, step=0.2, sample=0.8, trials=2, folds=3)
-SHORT_SPACE = {"maxIter": Range(4, 8, "int"), "maxDepth": Range(3, 5, "int"), "stepSize": Range(0.05, 0.3, "log")}
-# All tasks in one query: just enough to fit and save every kind of model.
-LEAST = Budget(trees=3, depth=3, step=0.3, trials=1, folds=2)
-LEAST_SPACE = {"maxIter": Range(2, 3, "int"), "stepSize": Range(0.1, 0.3, "log")}
-SHORT_ALS = {"rank": 10, "maxIter": 5}
-# The churn label of the test tables is made from this column.
-LABEL_SOURCE = ("days_since_last_purchase",)
+SEARCH_SPACE = {"maxIter": Range(4, 8, "int"), "maxDepth": Range(3, 5, "int"), "stepSize": Range(0.05, 0.3, "log")}
+
+
+def tested(result: Result, label: str | None, better: bool):
+    """What the task's test part holds, per class, and whether the model is better than guessing."""
+    rows = result.predictions
+    named = F.col(label).cast("string") if label else F.lit("all")
+    return (
+        rows.groupBy(named.alias("label"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(result.name).alias("task"), "label", "n_rows", F.lit(better).alias("beats_guessing"))
+    )
 
 
-def report(spark, result: Result):
-    """Metrics of a task as rows."""
-    lines = [(result.name, name, float(v)) for name, v in sorted(result.metrics.items()) if v is not None]
-    return spark.createDataFrame(lines, "task string, metric string, value double")
+def more_than(bound: float, result: Result, metric: str = "auc") -> bool:
+    return result.metrics[metric] is not None and result.metrics[metric] > bound
 
 
 # ------------------------------------------------------------------ inputs
@@ -109,10 +114,10 @@ def tfidf(spark, folder):
 
 
 def assemble(spark, folder):
-    rows, names = tasks.review_rows(reviews(spark, folder))
+    ready = tasks.review_rows(reviews(spark, folder))
     from pyspark.ml.functions import vector_to_array
 
-    vectors = prep.assemble(rows, names).select("review_id", vector_to_array("features").alias("v"))
+    vectors = prep.assemble(ready.rows, ready.names).select("review_id", vector_to_array("features").alias("v"))
     squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
     return vectors.select("review_id", F.size("v").alias("n_features"), F.round(squares, 6).alias("square_length"))
 
@@ -123,120 +128,196 @@ def ranking_dataset(spark, folder):
 
 
 def smote(spark, folder):
-    rows = stage(transactions(spark, folder).select("transaction_id", "is_fraud", "quantity", "subtotal_idr"), "txn")
-    return prep.smote(rows, "transaction_id", "is_fraud", ["quantity", "subtotal_idr"], 0.3, 5, SEED)
+    """Rows by class and origin, and how many made-up rows leave the range of the minority."""
+    key, label = "transaction_id", "is_fraud"
+    ready = tasks.prepared(transactions(spark, folder), key, tasks.FRAUD_NUMBERS, tasks.FRAUD_TEXTS, [label])
+    rows, names = ready.rows, ready.names
+    topped = stage(prep.smote(rows, key, label, names, 0.3, 5, SEED), "topped")
+    few = rows.where(F.col(label) == 1).agg(*[f(c).alias(f"{k}_{c}") for c in names for k, f in (("low", F.min), ("high", F.max))])
+    outside = reduce(lambda x, y: x | y, [(F.col(c) < F.col(f"low_{c}") - 1e-9) | (F.col(c) > F.col(f"high_{c}") + 1e-9) for c in names])
+    made = topped.crossJoin(F.broadcast(few)).withColumn("_out", (F.col("is_synthetic") == 1) & outside)  # one row of ranges
+    return made.groupBy(label, "is_synthetic").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("_out").alias("n_outside"))
 
 
 # ------------------------------------------------------------------ models
 
 
 def churn(spark, folder):
-    return report(spark, tasks.churn(users(spark, folder), SHORT, SHORT_SPACE, LABEL_SOURCE))
+    result = tasks.churn(users(spark, folder))
+    return tested(result, "is_churned", more_than(0.7, result))
 
 
 def segmentation(spark, folder):
-    return report(spark, tasks.segmentation(users(spark, folder), SHORT))
+    result = tasks.segmentation(users(spark, folder))
+    return tested(result, "user_segment", 0 < result.metrics["accuracy"] <= 1)
 
 
 def ltv(spark, folder):
-    return report(spark, tasks.ltv(users(spark, folder), SHORT, SHORT_SPACE))
+    result = tasks.ltv(users(spark, folder))
+    return tested(result, None, more_than(0.3, result, "r2"))
 
 
 def fraud(spark, folder):
-    return report(spark, tasks.fraud(transactions(spark, folder), SHORT))
+    result = tasks.fraud(transactions(spark, folder))
+    return tested(result, "is_fraud", more_than(0.7, result))
 
 
 def sentiment_model(spark, folder):
-    return report(spark, tasks.sentiment(tasks.review_rows(reviews(spark, folder)), 20))
+    result = tasks.sentiment(tasks.review_rows(reviews(spark, folder)))
+    return tested(result, "sentiment", 0 < result.metrics["accuracy"] <= 1)
 
 
 def rating_model(spark, folder):
-    return report(spark, tasks.rating(tasks.review_rows(reviews(spark, folder)), 20))
+    result = tasks.rating(tasks.review_rows(reviews(spark, folder)))
+    return tested(result, "sentiment", result.metrics["rmse"] <= 4)
 
 
 def trending(spark, folder):
-    return report(spark, tasks.trending(tasks.product_rows(products(spark, folder)), SHORT))
+    result = tasks.trending(tasks.product_rows(products(spark, folder)))
+    return tested(result, "is_trending", more_than(0.6, result))
 
 
 def ctr_cvr(spark, folder):
     goods = tasks.product_rows(products(spark, folder))
-    click = tasks.product_rate(goods, "click_through_rate", SHORT)
-    return report(spark, click).unionByName(report(spark, tasks.product_rate(goods, "conversion_rate", SHORT)))
+    click, sale = (tasks.product_rate(goods, c) for c in ("click_through_rate", "conversion_rate"))
+    return tested(click, None, more_than(0.3, click, "r2")).unionByName(tested(sale, None, more_than(0.3, sale, "r2")))
 
 
 def search_ctr(spark, folder):
-    return report(spark, tasks.search_ctr(searches(spark, folder).dropna(subset=["is_clicked"]), SHORT))
+    result = tasks.search_ctr(searches(spark, folder).dropna(subset=["is_clicked"]))
+    return tested(result, "is_clicked", more_than(0.7, result))
 
 
 def cf_scored(spark, folder):
-    result, _ = training.collaborative_filter(interactions(spark, folder), training.Plan(epochs=(5,), rank=10))
-    return report(spark, result)
+    result, _ = training.collaborative_filter(interactions(spark, folder))
+    return tested(result, None, 0 <= result.metrics["mse"] < 1)
 
 
 def mse_epoch_curve(spark, folder):
-    _, curve = training.collaborative_filter(interactions(spark, folder), training.Plan(epochs=(1, 3, 5), rank=10))
-    return curve
+    _, curve = training.collaborative_filter(interactions(spark, folder))
+    fine = (F.col("train_mse") >= 0) & (F.col("val_mse") >= 0) & (F.col("train_mse") < F.col("val_mse"))
+    return curve.select("iterations", fine.alias("fits_training_rows_better"))
 
 
 def search_rank(spark, folder):
-    return report(spark, ranker.search_rank(searches(spark, folder)))
+    result = ranker.search_rank(searches(spark, folder))
+    return tested(result, None, more_than(0.5, result, "ndcg@10"))
 
 
 def _count_model(spark, folder):
-    return recommender.train_recommender(
-        fx.user_interactions(spark, folder), fx.transaction_history(spark, folder), **SHORT_ALS
-    )
+    return recommender.train_recommender(fx.user_interactions(spark, folder), fx.transaction_history(spark, folder))
 
 
 def als_implicit(spark, folder):
+    """Every user and every product of the matrix has its factors."""
     fitted = _count_model(spark, folder)
-    return fitted.model.userFactors.select("id", F.size("features").alias("n_factors"))
+    sides = (("user", fitted.model.userFactors, fitted.user_ids), ("product", fitted.model.itemFactors, fitted.product_ids))
+    found = [
+        ids.join(factors, F.col("code") == F.col("id"), "left").select(
+            F.lit(side).alias("side"), F.col("value").alias("id"), F.size("features").alias("n_factors")
+        )
+        for side, factors, ids in sides
+    ]
+    return found[0].unionByName(found[1])
+
+
+def _lists(rows, matrix, *named):
+    """Per user: how many products, and whether ranks, order, novelty and names are as they must be."""
+    seen = matrix.select("user_id", "product_id", F.lit(True).alias("_seen"))
+    bad = F.coalesce("_seen", F.lit(False)) | F.coalesce(F.col("predicted_score") > F.col("_before"), F.lit(False))
+    for column in named:
+        bad = bad | F.col(column).isNull()
+    before = F.lag("predicted_score").over(Window.partitionBy("user_id").orderBy("rank"))
+    marked = rows.join(seen, ["user_id", "product_id"], "left").withColumn("_before", before)
+    return marked.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_products"), (F.count_if(bad) == 0).alias("as_it_must_be"),
+        (F.sum("rank") == F.count(F.lit(1)) * (F.count(F.lit(1)) + 1) / 2).alias("ranks_from_one"),
+    )
 
 
 def recommend_all(spark, folder):
     fitted = _count_model(spark, folder)
-    return recommend(fitted.model, fitted.matrix, 5, fitted.user_ids, fitted.product_ids)
+    return _lists(recommend(fitted.model, fitted.matrix, 5, fitted.user_ids, fitted.product_ids), fitted.matrix)
 
 
 def recommend_with_scores(spark, folder):
     fitted = _count_model(spark, folder)
     goods = fx.product_catalog(spark, folder)
-    return recommend_enriched(fitted.model, fitted.matrix, 10, fitted.user_ids, fitted.product_ids, goods)
+    rows = recommend_enriched(fitted.model, fitted.matrix, 10, fitted.user_ids, fitted.product_ids, goods)
+    return _lists(rows, fitted.matrix, "product_name", "category", "final_price_idr")
 
 
 def random_search(spark, folder):
-    rows, names = tasks.prepared(products(spark, folder), "product_id", tasks.PRODUCT_NUMBERS, (), ["is_trending"])
+    """The mechanism of the search on short boosting; the tuned tasks run it at full size."""
+    ready = tasks.prepared(products(spark, folder), "product_id", tasks.PRODUCT_NUMBERS, (), ["is_trending"])
     search = tuning.random_search(
-        prep.assemble(rows, names),
+        prep.assemble(ready.rows, ready.names),
         "product_id",
         GBTClassifier(labelCol="is_trending", seed=SEED),
         BinaryClassificationEvaluator(labelCol="is_trending", numBins=0),
-        SHORT_SPACE,
-        trials=2,
+        SEARCH_SPACE,
+        trials=4,
         folds=3,
     )
+    best = max(search.avgMetrics)
     lines = [
-        (i, {p.name: float(v) for p, v in params.items()}, float(score))
+        (
+            i,
+            all(SEARCH_SPACE[p.name].low <= v <= SEARCH_SPACE[p.name].high for p, v in params.items()) and len(params) == 3,
+            bool(0.5 < score <= best),
+        )
         for i, (params, score) in enumerate(zip(search.getEstimatorParamMaps(), search.avgMetrics))
     ]
-    return spark.createDataFrame(lines, "trial int, params map<string,double>, mean_auc double")
+    return spark.createDataFrame(lines, "trial int, drawn_in_range boolean, better_than_guessing boolean")
 
 
 def feature_importance(spark, folder):
-    result = tasks.trending(tasks.product_rows(products(spark, folder)), SHORT)
-    return tuning.importance(spark, result.model, result.features, 10)
+    result = tasks.trending(tasks.product_rows(products(spark, folder)))
+    top = tuning.importance(spark, result.model, result.features, 10)
+    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # ten rows
+    known = F.col("feature").isin(result.features) & F.col("importance").between(0, 1)
+    return top.select(place.alias("place"), known.alias("known"))
 
 
 def model_save(spark, folder):
+    """A saved model loads again and scores the test rows as before."""
     root = staging_path(spark, "models")
-    result = tasks.trending(tasks.product_rows(products(spark, folder)), SHORT)
-    save_model(spark, result.model, result.name, result.metrics, root, "20240201_000000", {"features": result.features})
-    return saved_models(spark, root).select("name", "saved_at", F.explode("metrics").alias("metric", "value"))
+    result = tasks.trending(tasks.product_rows(products(spark, folder)))
+    path = save_model(spark, result.model, result.name, result.metrics, root, "20240201_000000", {"features": result.features})
+    again = GBTClassificationModel.load(path)
+    rows = result.predictions.drop("prediction", "score").withColumnRenamed(VALIDATION, "_held")
+    scored = tasks.scored(again, prep.assemble(rows, result.features)).select("product_id", F.col("score").alias("again"))
+    equal = result.predictions.join(scored, "product_id").agg(F.bool_and(F.col("score") == F.col("again")).alias("scores_alike"))
+    saved = saved_models(spark, root).select("name", "saved_at", F.explode("metrics").alias("metric", "value"))
+    return saved.select("name", "saved_at", "metric", F.col("value").between(0, 1).alias("in_range")).crossJoin(F.broadcast(equal))
+
+
+def score_saved(spark, folder):
+    """Raw rows of the test part, scored by the model and the preparation that were saved."""
+    root = staging_path(spark, "models")
+    goods = products(spark, folder)
+    result = tasks.trending(tasks.product_rows(goods))
+    path = training.save_result(spark, result, root, "20240201_000000")
+    before = result.predictions.select("product_id", F.col("score").alias("before"))
+    again = training.score_new(spark, root, path, goods)
+    return before.join(again, "product_id", "left").select("product_id", F.col("score").eqNullSafe(F.col("before")).alias("scores_alike"))
+
+
+def score_saved_texts(spark, folder):
+    """As ``score_saved`` with the vocabulary of the reviews."""
+    root = staging_path(spark, "models")
+    rows = reviews(spark, folder)
+    result = tasks.rating(tasks.review_rows(rows))
+    path = training.save_result(spark, result, root, "20240201_000000")
+    before = result.predictions.select("review_id", F.col("prediction").alias("before"))
+    again = training.score_new(spark, root, path, rows)
+    close = F.abs(F.col("prediction") - F.col("before")) < 1e-9
+    return before.join(again, "review_id", "left").select("review_id", F.coalesce(close, F.lit(False)).alias("scores_alike"))
 
 
 def train_recommender(spark, folder):
     tables = [fx.user_interactions(spark, folder), fx.transaction_history(spark, folder)]
-    return training.train_recommender(spark, tables, staging_path(spark, "models"), "20240201_000000", **SHORT_ALS)
+    return training.train_recommender(spark, tables, staging_path(spark, "models"), "20240201_000000")
 
 
 def model_registry(spark, folder):
@@ -252,10 +333,9 @@ def model_registry(spark, folder):
         interactions(spark, folder),
         root,
         "20240201_000000",
-        training.Plan(LEAST, LEAST_SPACE, LEAST_SPACE, 10, 3000, 5, (3,), 10),
-        LABEL_SOURCE,
     )
-    return read_registry(spark, f"{root}/model_registry")
+    lines = read_registry(spark, f"{root}/model_registry")
+    return lines.select("task", "model", F.regexp_extract("key_metric", r"^(\S+) = -?[0-9.]+$", 1).alias("metric"))
 
 
 # ------------------------------------------------------------------ SQL forms
@@ -291,6 +371,79 @@ union all
 select 'platform', platform, row_number() over (order by platform) - 1, count(*)
   from transaction_history group by platform"""
 
+
+def complete(columns) -> str:
+    return " and ".join(f"{c} is not null" for c in columns)
+
+
+def held_out(task: str, rows: str, key: str, label: str | None, share: str = "0.2", fixed: str = "true", shown: str | None = None) -> str:
+    """Rows of the test part by class; ``rows`` is a subquery of the usable rows."""
+    over = f"partition by {label}" if label else ""
+    named = f"cast({shown or label} as varchar)" if label else "'all'"
+    return f"""select '{task}' as task, {named} as label, count(*) as n_rows, {fixed} as beats_guessing from (
+      select *, {in_hash_order(key, over)} as place, count(*) over ({over}) as n from ({rows}))
+      where place >= n - ceil({share}::double * n) group by all"""
+
+
+def test_keys(rows: str, key: str, label: str) -> str:
+    return f"""select {key}, true as scores_alike from (
+      select *, {in_hash_order(key, f'partition by {label}')} as place, count(*) over (partition by {label}) as n from ({rows}))
+      where place >= n - ceil(0.2::double * n)"""
+
+
+USABLE_USERS = f"select * from up where {complete([*tasks.USER_NUMBERS, *tasks.USER_TEXTS])}"
+USABLE_GOODS = f"""select * from pc where {complete([*tasks.PRODUCT_NUMBERS, *tasks.PRODUCT_TEXTS,
+    'is_trending', 'click_through_rate', 'conversion_rate'])}"""
+SENTIMENT = "case when rating >= 4 then 'positive' when rating = 3 then 'neutral' else 'negative' end as sentiment"
+USABLE_REVIEWS = f"select *, {SENTIMENT} from pr"
+USABLE_SEARCHES = "select * from search_logs where is_clicked is not null"
+MEASURED = [c for c in tasks.FRAUD_NUMBERS if c not in ("hour_of_day", "day_of_week", "is_weekend")]
+USABLE_SALES = f"select * from th where {complete([*MEASURED, *tasks.FRAUD_TEXTS, 'is_fraud'])}"
+
+SCORED_EVENTS = f"select * from (select *, {SCORE} as own_score from user_interactions) where own_score is not null"
+
+SMOTE = f"""usable as ({USABLE_SALES}),
+sizes as (select count(*) filter (is_fraud = 1) as few, count(*) filter (is_fraud = 0) as many from usable)
+select is_fraud, 0 as is_synthetic, count(*) as n_rows, 0::bigint as n_outside from usable group by is_fraud
+union all
+select 1, 1, cast(floor(0.3::double * many) as bigint) - few, 0 from sizes where floor(0.3::double * many) > few and few > 1"""
+
+# every document with a word of the vocabulary has a text part of unit length
+ASSEMBLE = TFIDF[: TFIDF.index("raw as (")].replace(PR, PR_CLEAN).replace("from product_reviews)", "from pr)").replace(
+    "from product_reviews))", "from pr))"
+)
+ASSEMBLED = f"""{ASSEMBLE}
+known as (select distinct review_id from counts join vocabulary using (term)),
+wide as (select 3 + count(*) as n_features from vocabulary)
+select review_id, cast(n_features as int) as n_features,
+  round(pow(coalesce(helpful_votes, 0), 2) + pow(coalesce(verified_purchase, 0), 2) + pow(coalesce(has_photo, 0), 2)
+    + case when k.review_id is null then 0.0::double else 1.0::double end, 6) as square_length
+from pr left join known k using (review_id), wide"""
+
+GROUPED = f"""usable as (
+  select * replace (lower(trim(query)) as query) from search_logs where is_clicked is not null),
+numbered as (select *, dense_rank() over (order by query) - 1 as query_id from usable),
+places as (
+  select query_id, {in_hash_order('query_id')} as place, count(*) over () as n from (select distinct query_id from numbered))
+select 'search-ranking' as task, 'all' as label, count(*) as n_rows, true as beats_guessing
+from numbered join places using (query_id) where place >= n - ceil(0.2::double * n)"""
+
+
+def lists_sql(n: int) -> str:
+    return ask(
+        STACKED,
+        then=f"""select user_id, least({n}, (select count(distinct product_id) from cells) - count(*)) as n_products,
+          true as as_it_must_be, true as ranks_from_one from cells group by user_id
+          having count(*) < (select count(distinct product_id) from cells)""",
+    )
+
+
+FACTORS = """select 'user' as side, user_id as id, 50 as n_factors from (select distinct user_id from cells)
+union all select 'product', product_id, 50 from (select distinct product_id from cells)"""
+REGISTERED = "select * from (values " + ", ".join(
+    f"('{t}', '{m}', '{training.METRIC_NAMES[k]}')" for t, m, k in training.REGISTRY.values()
+) + ") as lines(task, model, metric)"
+
 QUERIES = [
     Query("label_encode", label_encode, ask(TH, then=ENCODE)),
     Query(
@@ -332,37 +485,47 @@ QUERIES = [
     ),
     Query("tokenize_ngrams", tokenize_ngrams, ask(TERMS, then="select review_id, term, tf from counts")),
     Query("tfidf", tfidf, f"with {TFIDF}"),
-    Query("smote", smote),
-    Query("assemble", assemble),
+    Query("smote", smote, f"with {TH_CLEAN},\n{SMOTE}"),
+    Query("assemble", assemble, f"with {ASSEMBLED}"),
     Query(
         "ranking_dataset",
         ranking_dataset,
         ask(
             SL,
-            then="""select log_id, query, cast(dense_rank() over (order by query) - 1 as int) as query_id,
+            then="""select log_id, query, dense_rank() over (order by query) - 1 as query_id,
               is_clicked + 2 * has_purchase as relevance, coalesce(filter_category, 'none') as filter_category
               from (select * replace (lower(trim(query)) as query) from search_logs)
               where is_clicked is not null""",
         ),
     ),
-    Query("churn", churn),
-    Query("segmentation", segmentation),
-    Query("ltv", ltv),
-    Query("fraud", fraud),
-    Query("sentiment_model", sentiment_model),
-    Query("rating_model", rating_model),
-    Query("trending", trending),
-    Query("ctr_cvr", ctr_cvr),
-    Query("search_ctr", search_ctr),
-    Query("cf_scored", cf_scored),
-    Query("mse_epoch_curve", mse_epoch_curve),
-    Query("search_rank", search_rank),
-    Query("als_implicit", als_implicit),
-    Query("recommend_all", recommend_all),
-    Query("recommend_with_scores", recommend_with_scores),
-    Query("random_search", random_search),
-    Query("feature_importance", feature_importance),
-    Query("model_save", model_save),
-    Query("train_recommender", train_recommender),
-    Query("model_registry", model_registry),
+    Query("churn", churn, ask(UP_CLEAN, then=held_out("churn-prediction", f"{USABLE_USERS} and is_churned is not null", "user_id", "is_churned"))),
+    Query("segmentation", segmentation, ask(UP_CLEAN, then=held_out("user-segmentation", f"{USABLE_USERS} and user_segment is not null", "user_id", "user_segment"))),
+    Query("ltv", ltv, ask(UP_CLEAN, then=held_out("ltv-prediction", f"{USABLE_USERS} and ltv_idr is not null", "user_id", None))),
+    Query("fraud", fraud, ask(TH_CLEAN, then=held_out("fraud-detection", USABLE_SALES, "transaction_id", "is_fraud"))),
+    Query("sentiment_model", sentiment_model, ask(PR_CLEAN, then=held_out("review-sentiment", USABLE_REVIEWS, "review_id", "sentiment"))),
+    Query("rating_model", rating_model, ask(PR_CLEAN, then=held_out("review-rating", USABLE_REVIEWS, "review_id", "sentiment"))),
+    Query("trending", trending, ask(PC_CLEAN, then=held_out("product-trending", USABLE_GOODS, "product_id", "is_trending"))),
+    Query(
+        "ctr_cvr",
+        ctr_cvr,
+        ask(
+            PC_CLEAN,
+            then=held_out("product-click-through-rate", USABLE_GOODS, "product_id", None)
+            + "\nunion all\n" + held_out("product-conversion-rate", USABLE_GOODS, "product_id", None),
+        ),
+    ),
+    Query("search_ctr", search_ctr, ask(SL, then=held_out("search-ctr", USABLE_SEARCHES, "log_id", "is_clicked"))),
+    Query("cf_scored", cf_scored, ask(UI, then=held_out("collaborative-filtering", SCORED_EVENTS, "interaction_id", None, "0.1"))),
+    Query("mse_epoch_curve", mse_epoch_curve, "select cast(unnest(range(1, 11)) as int) as iterations, true as fits_training_rows_better from region where r_regionkey = 0"),
+    Query("search_rank", search_rank, ask(SL, GROUPED[: GROUPED.rindex("\nselect")], then=GROUPED[GROUPED.rindex("\nselect") + 1 :])),
+    Query("als_implicit", als_implicit, ask(STACKED, then=FACTORS)),
+    Query("recommend_all", recommend_all, lists_sql(5)),
+    Query("recommend_with_scores", recommend_with_scores, lists_sql(10)),
+    Query("random_search", random_search, "select cast(unnest(range(4)) as int) as trial, true as drawn_in_range, true as better_than_guessing from region where r_regionkey = 0"),
+    Query("feature_importance", feature_importance, "select cast(unnest(range(1, 11)) as int) as place, true as known from region where r_regionkey = 0"),
+    Query("model_save", model_save, "select 'product-trending' as name, '20240201_000000' as saved_at, unnest(['accuracy', 'auc', 'f1_weighted']) as metric, true as in_range, true as scores_alike from region where r_regionkey = 0"),
+    Query("score_saved", score_saved, ask(PC_CLEAN, then=test_keys(USABLE_GOODS, "product_id", "is_trending"))),
+    Query("score_saved_texts", score_saved_texts, ask(PR_CLEAN, then=test_keys(USABLE_REVIEWS, "review_id", "sentiment"))),
+    Query("train_recommender", train_recommender, ask(STACKED, then=STATS)),
+    Query("model_registry", model_registry, REGISTERED),
 ]

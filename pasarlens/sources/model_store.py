@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.util import MLWritable
+from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsReader, MLWritable
 from pyspark.sql import DataFrame, SparkSession
 
 METADATA_SCHEMA = "name string, saved_at string, path string, metrics map<string,double>, notes map<string,string>"
@@ -20,10 +21,16 @@ def save_model(
     root: str,
     saved_at: str,
     notes: Mapping[str, object] | None = None,
+    tables: Mapping[str, DataFrame] | None = None,
 ) -> str:
-    """Save under ``<root>/<name>/<name>_<saved_at>`` and add one metadata record."""
+    """Save under ``<root>/<name>/<name>_<saved_at>`` and add one metadata record.
+
+    ``tables`` are what preparing new rows needs (dictionaries, vocabulary); they go next to the model.
+    """
     path = f"{root}/{name}/{name}_{saved_at}"
     model.write().overwrite().save(path)
+    for part, table in (tables or {}).items():
+        table.write.mode("overwrite").parquet(f"{path}_{part}")
     record = (
         name,
         saved_at,
@@ -45,6 +52,11 @@ def saved_models(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", f"{root}/_metadata").json(f"{root}/_metadata")
 
 
+def load_model(spark: SparkSession, path: str) -> Model:
+    """Any saved model; its class is in its own metadata."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)
+
+
 def model_registry(spark: SparkSession, rows: Sequence[Mapping[str, str]]) -> DataFrame:
     """One line per training task: task, model, key metric, path."""
     lines = [(r["task"], r["model"], r["key_metric"], r["path"]) for r in rows]
