@@ -45,7 +45,7 @@ def main() -> None:
     chosen = sys.argv[1:] or HEADLINE
 
     from pasarlens.registry import all_queries
-    from pasarlens.session import build_session
+    from pasarlens.session import build_session, clear_staging
 
     spark = build_session(
         "bench",
@@ -67,6 +67,7 @@ def main() -> None:
 
     once("user_product_features")  # start-up of the JVM is not measured
     times = {name: round(statistics.median(once(name) for _ in range(runs)), 3) for name in chosen}
+    clear_staging(spark)
     print(
         json.dumps(
             {

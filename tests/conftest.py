@@ -11,7 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from pasarlens.session import build_session
+    from pasarlens.session import build_session, clear_staging
 
     session = build_session(
         "tests",
@@ -25,6 +25,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staging(session)
     session.stop()
 
 

@@ -3,7 +3,7 @@ import pytest
 from pasarlens.registry import all_queries
 from tools.compare import compare, connect
 
-# Trainings have their own tests; here every query with SQL is compared value by value.
+# Every query with SQL, trainings included, is compared value by value.
 CHECKED = [q for q in all_queries() if q.sql]
 
 
