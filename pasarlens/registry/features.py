@@ -20,6 +20,7 @@ from pasarlens.registry.tables import (
     WEIGHT,
     calendar,
 )
+from pasarlens.session import stage
 
 
 def col(name):
@@ -125,7 +126,7 @@ def std_text(spark, folder):
 
 def normalised_score(spark, folder):
     rows = etl.clean_interactions(fx.user_interactions(spark, folder)).select("interaction_id", "implicit_score")
-    return score_norm(rows).select("interaction_id", F.round("score_norm", 6).alias("score_norm"))
+    return score_norm(stage(rows, "scores")).select("interaction_id", F.round("score_norm", 6).alias("score_norm"))
 
 
 def log_target(spark, folder):

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from pasarlens import fixtures as fx
 from pasarlens.plans import etl
 from pasarlens.registry.base import (
@@ -156,19 +161,42 @@ select * replace (cast(coalesce(is_clicked, 0) as int) as is_clicked),
   {audit('2024-02-01')} from cleaned"""
 
 
+# Per output: a sum over its keys and a sum over what its job computes.
+CONTENT = {
+    "user_profiles": ("user_id", "total_orders"),
+    "product_catalog": ("product_id", "length(category) + sales_last_30d"),
+    "user_interactions": ("interaction_id", "product_id"),
+    "transaction_history": ("transaction_id", "quantity"),
+    "product_reviews": ("review_id", "length(review_text)"),
+    "search_logs": ("log_id", "length(trim(query))"),
+    "user_product_matrix": ("user_id * 1000 + product_id", "n_interactions"),
+}
+
+
 def etl_main(spark, folder):
-    """All seven outputs written, then counted from what was written."""
+    """All seven outputs written, then counted and summed up from what was written."""
     from pasarlens.session import staging_path
     from pasarlens.sources.tables import dataset_summary
 
     raw = {name: getattr(fx, name)(spark, folder) for name in etl.JOBS}
     ties = {"transaction_history": fx.TRANSACTION_TIE}
     written = etl.run_all(spark, raw, staging_path(spark, "etl"), fx.EVENTS_AS_OF, ties)
-    return dataset_summary({name: spark.read.parquet(path) for name, path in written.items()})
+    tables = {name: spark.read.parquet(path) for name, path in written.items()}
+    sums = [
+        tables[name].select(
+            F.lit(name).alias("table_name"),
+            F.expr(f"cast(sum({key}) as long)").alias("key_sum"),
+            F.expr(f"cast(sum({value}) as long)").alias("content_sum"),
+        )
+        for name, (key, value) in CONTENT.items()
+    ]
+    return dataset_summary(tables).join(reduce(DataFrame.unionByName, sums), "table_name")
 
 
 ETL_COUNTS = " union all ".join(
-    f"select '{name}' as table_name, count(*) as n_rows, cast({columns} as int) as n_columns from {source}"
+    f"""select '{name}' as table_name, count(*) as n_rows, cast({columns} as int) as n_columns,
+        cast(sum({CONTENT[name][0]}) as bigint) as key_sum, cast(sum({CONTENT[name][1]}) as bigint) as content_sum
+      from {source}"""
     for name, columns, source in (
         ("user_profiles", 29, "up"),
         ("product_catalog", 28, "pc"),
