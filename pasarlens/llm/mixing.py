@@ -29,8 +29,9 @@ def source_targets(
 
     Sources in code point order, null last, weigh ``weights`` in turn.  They share ``share``
     times all sizes in proportion; none exceeds ``most`` times its own size, and the excess goes
-    to the others by weight.  With the sources ordered by cap / weight that is one level: the
-    first source at which the rest, shared by the weights still open, stays below its cap.
+    to the others by weight.  With the sources ordered by cap / weight that is one level, found at the
+    first source where the rest, shared by the weights still open, stays below its cap (from there on
+    the same share only falls).
     One row per source is all that meets in one task here.
     """
     ordered = Window.orderBy(F.col("source").asc_nulls_last())
@@ -45,7 +46,7 @@ def source_targets(
         .withColumn("ratio", F.col("cap") / F.col("weight"))
         .withColumn("rest", F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
         .withColumn("level", F.col("rest") / F.sum("weight").over(onward))
-        .withColumn("open", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
+        .withColumn("open", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
     )
     shared = F.coalesce(F.col("open") * F.col("weight"), F.col("cap"))
     return filled.select("source", "source_size", F.least("cap", shared).alias("target"))

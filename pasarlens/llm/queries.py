@@ -75,7 +75,7 @@ rests as (
            rows between unbounded preceding and 1 preceding), 0) as rest,
          sum(weight) over (order by cap / weight, source nulls last rows between current row and unbounded following) as open_weight
   from sources),
-levels as (select *, min(case when rest / open_weight <= ratio then rest / open_weight end) over () as level from rests),
+levels as (select *, max(case when rest / open_weight <= ratio then rest / open_weight end) over () as level from rests),
 targets as (select source, source_size, least(cap, coalesce(level * weight, cap)) as target from levels),
 budgets as (
   select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole from targets),
