@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.llm.common import packed, stage
+from pasarlens.llm.common import lean_batches, packed, stage
 
 # One of so many white spaces ends a chunk.
 EVERY = 5
@@ -94,7 +94,7 @@ def dedup_chunks(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFra
         return pd.DataFrame({"digests": [d for d, _ in found], "words": [w for _, w in found]})
 
     cut_up = stage(
-        docs.select(
+        lean_batches(docs).select(
             F.coalesce("doc_id", F.lit(NO_ID)).alias("d"),
             F.xxhash64("text").alias("th"),
             F.monotonically_increasing_id().alias("row"),

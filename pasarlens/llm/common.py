@@ -7,13 +7,29 @@ from pyspark.sql import functions as F
 
 from pasarlens.session import stage
 
-__all__ = ["ASCII_SPACE", "WORD", "ascii_lower", "attach", "packed", "stage", "words_in"]
+__all__ = ["ASCII_SPACE", "WORD", "ascii_lower", "attach", "lean_batches", "packed", "stage", "words_in"]
 
 # White space is space and the controls from tab to carriage return, nothing else.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 # Tables up to this many narrow rows may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 100_000
+# Rows that a Python worker gets at a time.
+PYTHON_ROWS = 1_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def lean_batches(docs: DataFrame) -> DataFrame:
+    """``docs``; its session hands rows to Python workers in batches of ``PYTHON_ROWS`` from now on.
+
+    Whole texts are long, and the default batch of 10,000 of them fills a worker.  The setting stays,
+    as results are computed later, and is the same for all operators, so that they share the workers.
+    """
+    conf = docs.sparkSession.conf
+    now = int(conf.get(ARROW_ROWS))
+    if now <= 0 or now > PYTHON_ROWS:
+        conf.set(ARROW_ROWS, PYTHON_ROWS)
+    return docs
 
 
 def packed(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.llm.common import packed
+from pasarlens.llm.common import lean_batches
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|[^<]++|<", re.S
@@ -311,5 +311,5 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Repeated rows give the same text.  An empty table stays empty.
     """
     text = F.coalesce(extracted(F.col("page.html")), F.lit(""))
-    whole = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"))
+    whole = lean_batches(pages).select(F.struct(*[pages[c] for c in pages.columns]).alias("page"))
     return whole.select("page", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -19,13 +19,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pasarlens.llm.common import stage
+from pasarlens.llm.common import lean_batches, stage
 
 # Pieces that one task packs at a time, words that one worker remembers, characters it encodes at a time.
 ITEMS = 100_000
-CACHED_WORDS = 1_000_000
-BATCH_CHARS = 8_000_000
-TAIL = ".,!?;:*&%$#"
+CACHED_WORDS = 600_000
+BATCH_CHARS = 4_000_000
+# A word: anything, then marks that the tokenizer splits from letters before them.
+WORD_PARTS = r"^(?s:(?P<stem>.*?)(?P<marks>[.,!?;:*&%$#]*))$"
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices ``flat[start : start + size]``, one after the other."""
+    upto = np.cumsum(sizes)
+    total = int(upto[-1]) if len(upto) else 0
+    return flat[np.arange(total) + np.repeat(starts - (upto - sizes), sizes)]
+
+
+class Lexicon:
+    """Ids of pieces of text that were encoded before, kept as arrays: a few dozen bytes each."""
+
+    def __init__(self) -> None:
+        self.pieces = pa.array([], pa.large_string())
+        self.flat = np.zeros(0, np.uint32)
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+
+    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
+        sizes = np.array([len(i) for i in ids], np.int64)
+        self.pieces = pa.concat_arrays([self.pieces, pa.array(pieces, pa.large_string())])
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, *ids])
 
 
 class WordIds:
@@ -38,58 +63,61 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {"": b""}
-        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
-        for token, k in self.tokenizer.get_vocab().items():
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
+        for token, k in vocabulary.items():
             self.ends[k] = token.endswith("</w>")
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    @staticmethod
-    def parts(word: str) -> tuple[str, str]:
-        """Letters (lower-cased if ASCII) and marks; no letters if the word is of another kind."""
-        stem = word.rstrip(TAIL)
-        if not stem.isalpha():
-            return "", word
-        return stem.lower() if word.isascii() else stem, word[len(stem) :]
-
-    def learn(self, stems: set[str]) -> None:
-        new = list(stems - self.ids.keys())
-        for start in range(0, len(new), 1000):
-            some = new[start : start + 1000]
-            found = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            stops = (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
-            if len(stops) == len(some):
-                raw = found.tobytes()
-                self.ids.update(zip(some, [raw[a:z] for a, z in zip([0, *stops], stops)]))
-            else:  # a word that the tokenizer splits
-                self.ids.update((w, self.encode(w)) for w in some)
-
-    def of_words(self, words: list[str]) -> list[bytes]:
-        split = list(map(self.parts, words))
-        self.learn({stem for stem, _ in split})
-        for marks in {marks for _, marks in split}.difference(self.ids):
-            self.ids[marks] = self.encode(marks)
-        ids = self.ids
-        return [ids[stem] + ids[marks] for stem, marks in split]
+        self.lexicon = Lexicon()
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def learn(self, pieces: list[str]) -> None:
+        ids: list[np.ndarray] = []
+        for start in range(0, len(pieces), 1000):
+            some = pieces[start : start + 1000]
+            found = self.encode(" ".join(some))
+            stops = np.flatnonzero(self.ends[found]) + 1
+            # each piece ends at least one token; more ends than pieces: the tokenizer splits some of them
+            ids += np.split(found, stops[:-1]) if len(stops) == len(some) else [self.encode(w) for w in some]
+        if pieces:
+            self.lexicon.add(pieces, ids)
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the lexicon has each piece, after encoding the new ones."""
+        new = pc.filter(pieces, pc.invert(pc.is_in(pieces, value_set=self.lexicon.pieces))).unique()
+        # letters only, or else encoded one by one: such a piece may hold no token, or several
+        letters = pc.utf8_is_alpha(new)
+        self.learn(pc.filter(new, letters).to_pylist())
+        odd = pc.filter(new, pc.invert(letters)).to_pylist()
+        if odd:
+            self.lexicon.add(odd, [self.encode(w) for w in odd])
+        return pc.index_in(pieces, value_set=self.lexicon.pieces).to_numpy(zero_copy_only=False)
 
     def of_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text."""
-        if len(self.ids) > CACHED_WORDS:
-            self.ids = {"": b""}
+        if len(self.lexicon.pieces) > CACHED_WORDS:
+            self.lexicon = Lexicon()
         column = pc.replace_substring(pa.array([t or "" for t in texts], pa.large_string()), "\n", " ")
         lists = pc.split_pattern(column, " ")
         coded = lists.values.dictionary_encode()
-        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        own = self.of_words(words)
-        sizes = np.array([len(i) // 4 for i in own], np.int64)
-        flat, starts = np.frombuffer(b"".join(own), "<u4"), np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        words = coded.dictionary
+        parts = pc.extract_regex(words, WORD_PARTS)
+        stems, marks = (pc.struct_field(parts, k).cast(pa.large_string()) for k in ("stem", "marks"))
+        plain = pc.utf8_is_alpha(stems)
+        # a word of another kind is one piece; letters are lower-cased as far as the tokenizer surely does so
+        heads = pc.if_else(plain, pc.ascii_lower(stems), words)
+        tails = pc.if_else(plain, marks, "")
+        at = self.places(pa.concat_arrays([heads, tails]))
+        pairs = at.reshape(2, -1).T.reshape(-1)
+        own_sizes = self.lexicon.sizes[pairs]
+        flat = gathered(self.lexicon.flat, self.lexicon.starts[pairs], own_sizes)
+        sizes = own_sizes.reshape(-1, 2).sum(axis=1)
+        which = coded.indices.to_numpy()
         counts = sizes[which]
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        ids = flat[np.arange(upto[-1]) + np.repeat(starts[which] - upto[:-1], counts)]
-        at = upto[lists.offsets.to_numpy()]
-        return [ids[a:z] for a, z in zip(at[:-1], at[1:])]
+        ids = gathered(flat, (np.cumsum(sizes) - sizes)[which], counts)
+        upto = np.concatenate([[0], np.cumsum(counts)])[lists.offsets.to_numpy()]
+        return [ids[a:z] for a, z in zip(upto[:-1], upto[1:])]
 
     def of(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of many texts, about ``BATCH_CHARS`` at a time, so the memory does not follow their number."""
@@ -101,8 +129,10 @@ class WordIds:
             if chars >= BATCH_CHARS:
                 yield from self.of_batch(some)
                 some, chars = [], 0
+                pa.default_memory_pool().release_unused()  # else a worker keeps its largest batch
         if some:
             yield from self.of_batch(some)
+            pa.default_memory_pool().release_unused()
 
 
 _words: dict[str, WordIds] = {}
@@ -136,7 +166,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -
             )
         return pd.Series(out)
 
-    cut_up = docs.select("doc_id", F.posexplode(cut("text")).alias("piece", "p")).select("doc_id", "piece", "p.*")
+    cut_up = lean_batches(docs).select("doc_id", F.posexplode(cut("text")).alias("piece", "p")).select("doc_id", "piece", "p.*")
     # the numbers are frozen by the written table; a repeated task before that gives the same ones or none
     return stage(cut_up.withColumn("uid", F.monotonically_increasing_id()), "pieces")
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pasarlens.llm.common import stage
+from pasarlens.llm.common import lean_batches, stage
 from pasarlens.llm.components import connected_components
 from pasarlens.operators.skew import join_stats
 
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return stage(docs.select("doc_id", of("text").alias("fp")), "fingerprints")
+    return stage(lean_batches(docs).select("doc_id", of("text").alias("fp")), "fingerprints")
 
 
 def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
