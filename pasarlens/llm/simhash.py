@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the fingerprints within ``distance``; linear memory."""
+    """Links of a spanning forest of the (unsigned) fingerprints within ``distance``; linear memory."""
     found, rest = [], fps
     while len(rest) > 1:
         front, rest = [rest[0]], rest[1:]
@@ -86,7 +86,7 @@ def links_in_buckets(parts: Iterator[pd.DataFrame], distance: int) -> Iterator[p
         same = (rows[keys].to_numpy()[1:] == rows[keys].to_numpy()[:-1]).all(axis=1)
         starts = np.flatnonzero(np.concatenate([[True], ~same]))
         sizes = np.diff(np.append(starts, len(rows)))
-        fps = rows["fp"].to_numpy()
+        fps = rows["fp"].to_numpy().view(np.uint64)  # bits of a signed number would be those of its absolute value
         twos = starts[sizes == 2]
         near = np.bitwise_count(fps[twos] ^ fps[twos + 1]) <= distance
         a, b = list(fps[twos[near]]), list(fps[twos[near] + 1])
@@ -94,7 +94,7 @@ def links_in_buckets(parts: Iterator[pd.DataFrame], distance: int) -> Iterator[p
             for x, y in _forest(fps[start : start + size], distance):
                 a.append(x)
                 b.append(y)
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        return pd.DataFrame({"a": np.array(a, np.uint64).view(np.int64), "b": np.array(b, np.uint64).view(np.int64)})
 
     for rows in parts:
         rows = rows if rest is None else pd.concat([rest, rows], ignore_index=True)
