@@ -3,8 +3,9 @@ import pytest
 from pasarlens.registry import all_queries
 from tools.compare import compare, connect
 
-# Every query with SQL, trainings included, is compared value by value.
-CHECKED = [q for q in all_queries() if q.sql]
+# Every query with SQL, trainings included, is compared value by value.  The one that repeats
+# all trainings is left to tools/compare.py.
+CHECKED = [q for q in all_queries() if q.sql and q.name != "model_registry"]
 
 
 @pytest.fixture(scope="module")
