@@ -24,7 +24,7 @@ from pasarlens.llm.common import lean_batches, stage
 # Pieces that one task packs at a time, words that one worker remembers, characters it encodes at a time.
 ITEMS = 100_000
 CACHED_WORDS = 600_000
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 # A word: anything, then marks that the tokenizer splits from letters before them.
 WORD_PARTS = r"^(?s:(?P<stem>.*?)(?P<marks>[.,!?;:*&%$#]*))$"
 
@@ -85,14 +85,20 @@ class WordIds:
 
     def places(self, pieces: pa.Array) -> np.ndarray:
         """Where the lexicon has each piece, after encoding the new ones."""
-        new = pc.filter(pieces, pc.invert(pc.is_in(pieces, value_set=self.lexicon.pieces))).unique()
-        # letters only, or else encoded one by one: such a piece may hold no token, or several
-        letters = pc.utf8_is_alpha(new)
-        self.learn(pc.filter(new, letters).to_pylist())
-        odd = pc.filter(new, pc.invert(letters)).to_pylist()
-        if odd:
-            self.lexicon.add(odd, [self.encode(w) for w in odd])
-        return pc.index_in(pieces, value_set=self.lexicon.pieces).to_numpy(zero_copy_only=False)
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.lexicon.pieces), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = pieces.take(pa.array(missing))
+            new, first = unknown.unique(), len(self.lexicon.pieces)
+            # letters only, or else encoded one by one: such a piece may hold no token, or several
+            letters = pc.utf8_is_alpha(new)
+            plain, odd = pc.filter(new, letters), pc.filter(new, pc.invert(letters))
+            self.learn(plain.to_pylist())
+            if len(odd):
+                self.lexicon.add(odd.to_pylist(), [self.encode(w) for w in odd.to_pylist()])
+            order = pa.concat_arrays([plain, odd])
+            at[missing] = first + pc.index_in(unknown, value_set=order).to_numpy(zero_copy_only=False)
+        return at
 
     def of_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text."""
