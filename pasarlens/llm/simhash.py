@@ -32,18 +32,26 @@ BUCKET = 4096
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """SimHash of the word shingles, repeats included, as a signed 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the word shingles, repeats included; a text of fewer words is one shingle."""
     words = (text or "").encode("utf-8").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) < shingle:
         shingles = iter([b" ".join(words)])
         count = 1
     else:
         shingles = map(b" ".join, zip(*[words[k:] for k in range(shingle)]))
         count = len(words) - shingle + 1
-    hashes = np.fromiter(map(_hash, shingles), np.uint64, count)
+    return np.fromiter(map(_hash, shingles), np.uint64, count)
+
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    """SimHash of the word shingles, repeats included, as a signed 64-bit number."""
+    hashes = shingle_hashes(text, shingle)
+    count = len(hashes)
+    if not count:
+        return 0
     ones = np.zeros(BITS, np.int64)
     for start in range(0, count, 4096):
         rows = hashes[start : start + 4096].view(np.uint8).reshape(-1, 8)
@@ -152,7 +160,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, blocks
     """
     rows = fingerprints(docs, shingle)
     classes = stage(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")), "classes")
-    roots = connected_components(close_links(classes.select("fp"), distance, blocks))
+    return with_components(rows, classes, connected_components(close_links(classes.select("fp"), distance, blocks)))
+
+
+def with_components(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``doc_id, fp, component_id`` of ``rows(doc_id, fp)``, from ``classes(fp, n, first)`` and their roots."""
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "n", "first", F.coalesce("root", "fp").alias("root")
     )
