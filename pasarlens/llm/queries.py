@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pasarlens.llm.chunk_dedup import dedup_chunks
+from pasarlens.llm.harmonic import harmonic_pack
 from pasarlens.llm.html import extract_pages
 from pasarlens.llm.line_dedup import dedup_lines
 from pasarlens.llm.mixing import mix_sizes
@@ -17,7 +18,9 @@ from pasarlens.llm.pii import personal_data
 from pasarlens.llm.quality import quality_rules
 from pasarlens.llm.sharding import shard_documents
 from pasarlens.llm.simhash import near_duplicates
+from pasarlens.llm.trie import prefix_trie
 from pasarlens.llm.vectors import near_vectors
+from pasarlens.llm.whitening import whiten
 
 
 @dataclass(frozen=True)
@@ -139,6 +142,59 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages")).select("page.page_id", "page.url", "text", "n_chars")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
+# crc32 bit by bit: 3988292384 is its polynomial, reversed
+TRIE_SQL = r"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, role, text) as place
+  from conversations where conv_id is not null),
+convs as (
+  select conv_id, conv_id - conv_id % 5 as base, xor(4294967295, list_reduce(
+      list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+      lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 9 as h
+  from (select distinct conv_id from turns)),
+rebuilt as (
+  select c.conv_id, t.role, t.text, t.place from convs c join turns t on t.conv_id = c.base and t.place <= c.h
+  union all
+  select c.conv_id, t.role, t.text, t.place from convs c join turns t on t.conv_id = c.conv_id and t.place > c.h),
+ordered as (
+  select conv_id, sha256(role || chr(0) || text) as turn, strlen(text) as bytes,
+         row_number() over (partition by conv_id order by place) as depth from rebuilt),
+prefixes as (
+  select conv_id, 0 as depth, '' as node, 0 as bytes from convs
+  union all
+  select conv_id, depth, array_to_string(list(turn) over (partition by conv_id order by depth), ' '), bytes from ordered),
+lengths as (select conv_id, max(depth) as length from prefixes group by conv_id),
+nodes as (
+  select node, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = length), '')) as ends_sha256
+  from prefixes join lengths using (conv_id) group by node),
+parents as (
+  select distinct p.node, u.conv_id as parent_conv_id, u.node as up
+  from nodes p join prefixes x on x.conv_id = p.conv_id and x.depth = p.depth - 1 join nodes u on u.node = x.node),
+children as (select up as node, count(*) as n_children from parents group by up),
+whole as (select n.*, coalesce(n_children, 0) as n_children from nodes n left join children using (node)),
+below as (
+  select x.node, count(*) filter (v.n_children = 0) as n_leaves,
+         sum(case when v.depth > 0 then (v.n_convs - 1) * v.bytes else 0 end) as saved_tokens
+  from whole v join prefixes x on x.conv_id = v.conv_id and x.depth <= v.depth group by x.node)
+select w.conv_id, cast(depth as bigint) as depth, parent_conv_id, n_convs, n_children, n_leaves,
+       cast(saved_tokens as bigint) as saved_tokens, ends_sha256
+from whole w join below using (node) left join parents using (node)"""
+
+
+def op13_harmonic(spark: SparkSession, folder: str) -> DataFrame:
+    return harmonic_pack(table(spark, folder, "documents"), tokenizer_path())
+
+
 QUERIES: list[Query] = [
     Query("op1_line_dedup", op1_line_dedup, LINE_DEDUP_SQL),
     Query("op2_sharding", op2_sharding),
@@ -150,4 +206,7 @@ QUERIES: list[Query] = [
     Query("op8_simhash", op8_simhash),
     Query("op9_quality", op9_quality),
     Query("op10_html", op10_html),
+    Query("op11_whitening", op11_whitening),
+    Query("op12_prefix_trie", op12_prefix_trie, TRIE_SQL),
+    Query("op13_harmonic", op13_harmonic),
 ]
