@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.common import lean_batches, stage
@@ -59,14 +59,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """Stored ``doc_id, fp`` of every row.  A text without words has fingerprint zero."""
+def fingerprint_of(text: Column, shingle: int = 3) -> Column:
+    """Fingerprints of a column of texts.  A text without words has fingerprint zero."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return stage(lean_batches(docs).select("doc_id", of("text").alias("fp")), "fingerprints")
+    return of(text)
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """Stored ``doc_id, fp`` of every row."""
+    return stage(lean_batches(docs).select("doc_id", fingerprint_of(F.col("text"), shingle).alias("fp")), "fingerprints")
 
 
 def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -150,12 +155,13 @@ def close_links(distinct: DataFrame, distance: int = 3, blocks: int = 6, bucket:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, blocks: int = 6) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+    """``doc_id, fp, component_id, root`` for every row of ``docs``; ``root`` is a fingerprint that names the group.
 
     Texts are compared by their fingerprints alone; links are transitive.  ``component_id`` is
     the smallest ``doc_id`` of the group.  Null, empty and blank texts have fingerprint zero and
     are grouped like others.  A null ``doc_id`` never names a group unless all ids of it are null;
-    rows with such ids still link.  Repeated rows fall into one group.  An empty table gives an
+    rows with such ids still link.  Repeated rows fall into one group; rows that share an id but not
+    the text may be in several, with one ``component_id`` and different roots.  An empty table gives an
     empty result.  Other columns are not looked at.
     """
     rows = fingerprints(docs, shingle)
@@ -164,10 +170,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, blocks
 
 
 def with_components(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id`` of ``rows(doc_id, fp)``, from ``classes(fp, n, first)`` and their roots."""
+    """``doc_id, fp, component_id, root`` of ``rows(doc_id, fp)``, from ``classes(fp, n, first)`` and their roots."""
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "n", "first", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = rooted.join(named, "root").select("fp", "n", "component_id")
-    return join_stats(rows, of_class, ["fp"], "n", ["doc_id"]).select("doc_id", "fp", "component_id")
+    of_class = rooted.join(named, "root").select("fp", "n", "component_id", "root")
+    return join_stats(rows, of_class, ["fp"], "n", ["doc_id"]).select("doc_id", "fp", "component_id", "root")

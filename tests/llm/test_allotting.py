@@ -13,7 +13,7 @@ from pasarlens.llm.mixing import mix, mix_sizes
 from pasarlens.llm.sharding import settle, shard_documents
 from pasarlens.llm.vectors import near_vectors
 from tests.conftest import plan_of
-from tests.llm.cases import awkward, rows_of
+from tests.llm.cases import awkward, rows_of, sentence
 from tests.llm.test_text_operators import WORD, documents
 from tools.compare import compare, connect
 
@@ -305,6 +305,36 @@ def test_stages_bear_awkward_rows(spark, folder, odd, none):
             assert result.count() >= 0
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert result.columns == docs.columns
-    groups = corpus_pipeline.one_of_each_group(spark, odd, folder).collect()
-    ids = collections.Counter(r["doc_id"] for r in groups)
-    assert ids[15] == 1 and ids[20] == 0 and ids[11] == 1 and ids[None] == 2
+
+
+def groups_by_force(rows, distance=3):
+    """Sets of rows (doc_id, text) whose fingerprints are linked."""
+    from pasarlens.llm.simhash import fingerprint
+
+    found = []
+    for row in rows:
+        own = fingerprint(row[1], 3) & (1 << 64) - 1
+        near = [g for g in found if any((own ^ fp).bit_count() <= distance for fp, _ in g)]
+        found = [g for g in found if g not in near] + [sum(near, []) + [(own, row)]]
+    return [[row for _, row in g] for g in found]
+
+
+def test_one_of_each_group(spark, folder, odd):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    base = " ".join(words)
+    extra = [(40, base, "a"), (41, base + " tail", "a"), (41, "another text under one id " * 9, "b"), (42, "another text under one id " * 9, "b")]
+    extra += [(43, sentence(rng, 60), "a"), (43, sentence(rng, 60), None), (43, None, "a"), (39, base, "x"), (39, base, "y"), (39, "rare " + base, "z")]
+    extra += [(None, "no id at all here", "a"), (None, "no id at all here", "a")]
+    docs = odd.unionByName(rows_of(spark, extra))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, folder).collect())
+    groups = groups_by_force(rows)
+    assert sum(got.values()) == len(groups)
+    for group in groups:
+        least = min((i for i, _ in group if i is not None), default=None)
+        want = min((t or "" for i, t in group if i == least))
+        assert sum(n for (i, t), n in got.items() if i == least and (t or "") == want) >= 1
+        assert (least, want) in {(i, t or "") for i, t in got}
+    ids = collections.Counter(i for i, _ in got.elements())
+    assert ids[15] == 2 and ids[20] == 0 and ids[11] == 1 and ids[40] == 0 and ids[39] == 1
