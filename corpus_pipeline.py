@@ -9,23 +9,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pasarlens.llm.common import packed, stage
+from pasarlens.llm.common import lean_batches, packed, stage
 from pasarlens.llm.line_dedup import dedup_lines
 from pasarlens.llm.mixing import mix
 from pasarlens.llm.packing import pack
 from pasarlens.llm.quality import quality_rules
 from pasarlens.llm.queries import Query, table, tokenizer_path
-from pasarlens.llm.similar import similar_texts
+from pasarlens.llm.simhash import fingerprint_of, near_duplicates
+from pasarlens.operators.skew import join_stats
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality rules keep."""
+    """Documents the quality rules keep.
+
+    Null and empty texts have no words and go; repeated rows have one verdict.  An empty table gives
+    an empty result.  All columns are kept as they are.
+    """
     judged = quality_rules(docs, table(spark, sf_dir, "labels"))
     return judged.where("j.kept").select("doc.*")
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that other documents hold; ``n_chars`` follows the new text."""
+    """Texts without lines that other documents hold; ``n_chars`` follows the new text.
+
+    A text that changes not at all stays as it is, null included; a document all of whose lines go
+    stays with the empty text.  Repeated rows lose the same lines.  An empty table gives an empty result.
+    """
     done = dedup_lines(docs)
     changed = F.col("n_dropped") > 0
     new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("doc.text"))}
@@ -34,37 +43,52 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group.
+    """One document of every group of near duplicates by SimHash: the one with the smallest id.
 
-    Near duplicates share at least 0.8 of their five-word shingles (Jaccard), directly or through others.
-    Rows that share this id are repeated rows; one of them (the first by text) stays.  Documents
-    without an id are in no group that could name them, and stay.
+    Rows that share this id and the group are repeats; the first of them by text stays.  Rows that
+    share an id but are in different groups are different documents and are judged each by its own
+    fingerprint.  Rows without an id stay only for a group that has none with an id, one for each
+    group.  Null and empty texts are one group, as they have one fingerprint.  An empty table gives
+    an empty result.
     """
-    found = similar_texts(docs)
-    keepers = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("keeper"))
-    repeated = keepers.groupBy("keeper").agg(F.count(F.lit(1)).alias("times"))
-    rows = packed(docs).join(repeated, F.col("doc.doc_id") == F.col("keeper"), "left")
-    kept = stage(rows.where(F.col("keeper").isNotNull() | F.col("doc.doc_id").isNull()).select("doc", "times"), "kept")
-    single = kept.where(F.coalesce("times", F.lit(1)) == 1).select("doc")
-    # every task keeps one row per id before anything is moved
-    several = kept.where("times > 1").groupBy("doc.doc_id").agg(F.min_by("doc", "doc.text").alias("doc")).select("doc")
-    return single.unionByName(several).select("doc.*")
+    found = stage(near_duplicates(docs), "groups")
+    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = packed(docs).withColumns({"doc_id": F.col("doc.doc_id"), "text_hash": F.xxhash64("doc.text")})
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"), F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("names"))
+    held = join_stats(rows, ids, ["doc_id"], "times", ["text_hash"], null_safe=True, how="inner").where("names")
+    held = stage(held.select("doc", "doc_id", "times"), "named")
+    single = held.where("times = 1").select("doc")
+    # ids of several rows: the row counts only with the fingerprint that is named after the id
+    several = lean_batches(held.where("times > 1")).withColumn("fp", fingerprint_of(F.col("doc.text")))
+    roots = named.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("times_named"), F.min("root").alias("root"))
+    repeats = join_stats(several.withColumn("text_hash", F.xxhash64("doc.text")), roots, ["doc_id", "fp"], "times_named", ["text_hash"], null_safe=True, how="inner")
+    # every task keeps one row per group before anything is moved
+    chosen = repeats.groupBy("root").agg(F.min_by("doc", F.struct("doc.text", F.to_json("doc"))).alias("doc")).select("doc")
+    return single.unionByName(chosen).select("doc.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources near their target weights: documents go, stay, or come twice."""
+    """Sources near their target weights: documents go, stay, or come twice.
+
+    Null and empty texts have size zero and go with the hash of their id; a null source is a source of
+    its own; rows that share an id have one fate.  An empty table gives an empty result.
+    """
     return mix(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their sequence and place in it."""
+    """Pieces of documents with their sequence and place in it.
+
+    Null and empty texts are one piece of one id; a document that comes twice is packed twice.  An
+    empty table gives an empty result.
+    """
     return pack(docs, tokenizer_path())
 
 
 STAGES = [
     ("quality rules", good_documents),
     ("line dedup", without_repeated_lines),
-    ("near-dedup by shingles", one_of_each_group),
+    ("SimHash near-dedup", one_of_each_group),
     ("mixing sources to target weights", mixed),
     ("best-fit packing", packed_sequences),
 ]
