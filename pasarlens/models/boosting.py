@@ -42,6 +42,8 @@ from pasarlens.session import stage
 PART_CELLS = 4_000_000
 # Rounds between two written states; what is cached in between can be computed again from the last one.
 STAGE_ROUNDS = 20
+# Up to so many features, a batch keeps its bins as a matrix besides.
+DENSE_FEATURES = 64
 TRAINED = pa.schema([("number", pa.int32()), ("body", pa.string()), ("train", pa.float64()), ("held", pa.float64())])
 ROW = "uid long, query long, y double, w double, held boolean, entries array<int>"
 STATE = f"{ROW}, margins array<double>, g array<double>, h array<double>, drawn boolean, loss double, loss_w double"
@@ -147,13 +149,18 @@ class Rows:
         self.flat = entries.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         self.sizes = np.diff(entries.offsets.to_numpy())
         self.row = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.feature = bins.feature_of[self.flat]
+        self.dense = self.columns_of(np.arange(len(bins.cuts))) if len(bins.cuts) <= DENSE_FEATURES else None
 
     def columns(self, used: np.ndarray) -> np.ndarray:
         """Bins of a few features, (rows, features)."""
+        return self.columns_of(used) if self.dense is None else self.dense[:, used]
+
+    def columns_of(self, used: np.ndarray) -> np.ndarray:
         at = np.full(len(self.bins.cuts), -1)
         at[used] = np.arange(len(used))
         out = np.tile(self.bins.zero[used], (len(self.sizes), 1))
-        column = at[self.bins.feature_of[self.flat]]
+        column = at[self.feature]
         mine = column >= 0
         out[self.row[mine], column[mine]] = self.flat[mine] - self.bins.first[used[column[mine]]]
         return out
@@ -242,34 +249,57 @@ class Leaves:
 Search = Callable[[list[Tree], Leaves], Sequence]
 
 
-def cells_of(parts: Iterator[pa.RecordBatch], trees: Sequence[Tree], leaves: Leaves, bins: Bins) -> Iterator[pa.RecordBatch]:
-    """Sums of gradient, Hessian and rows by open leaf and cell, of the rows drawn in this task."""
-    n_leaves, width = len(leaves.totals), len(trees)
-    sums = np.zeros((3, n_leaves * bins.cells))
-    for batch in parts:
-        mine = batch.column("drawn").to_numpy(zero_copy_only=False).astype(bool)
-        if not mine.any():
+def cells_of_rows(
+    rows: Rows, drawn: np.ndarray, g: np.ndarray, h: np.ndarray, trees: Sequence[Tree], leaves: Leaves
+) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of (open leaf, cell), and the sums of gradient, Hessian and rows drawn in each."""
+    bins, found = rows.bins, []
+    for k, node in enumerate(rows.nodes(trees)):
+        slot = np.full(len(trees[k].feature), -1)
+        for at, number in leaves.slots[k].items():
+            slot[at] = number
+        leaf = np.where(drawn, slot[node], -1)
+        use = (leaf >= 0)[rows.row]
+        if not leaves.allowed[k].all():
+            use &= leaves.allowed[k][rows.feature]
+        row, cell = (rows.row, rows.flat) if use.all() else (rows.row[use], rows.flat[use])
+        if not len(row):
             continue
-        batch = batch.filter(pa.array(mine))
-        rows = Rows(batch.column("entries"), bins)
-        g, h = lists(batch.column("g"), width), lists(batch.column("h"), width)
-        for k, node in enumerate(rows.nodes(trees)):
-            slot = np.full(len(trees[k].feature), -1)
-            for at, number in leaves.slots[k].items():
-                slot[at] = number
-            leaf = slot[node]
-            use = (leaf >= 0)[rows.row] & leaves.allowed[k][bins.feature_of[rows.flat]]
-            row, cell = rows.row[use], rows.flat[use]
-            at = leaf[row] * bins.cells + cell
-            for i, weights in enumerate((g[row, k], h[row, k], None)):
-                sums[i] += np.bincount(at, weights, minlength=sums.shape[1])
-    at = np.flatnonzero(sums[2])
+        first, size = min(leaves.slots[k].values()) * bins.cells, len(leaves.slots[k]) * bins.cells
+        at = leaf[row] * bins.cells + cell - first
+        if size <= 4 * len(at):
+            count = np.bincount(at, minlength=size)
+            kept = np.flatnonzero(count)
+            sums = [np.bincount(at, v[row, k], minlength=size)[kept] for v in (g, h)] + [count[kept].astype(float)]
+        else:
+            kept, place, count = np.unique(at, return_inverse=True, return_counts=True)
+            sums = [np.bincount(place, v[row, k], minlength=len(kept)) for v in (g, h)] + [count.astype(float)]
+        found.append((kept + first, np.stack(sums)))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros((3, 0))
+    # the open leaves of a tree are numbered in a row, so no number is found twice
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found], axis=1)
+
+
+def cell_batch(at: np.ndarray, sums: np.ndarray, bins: Bins) -> pa.RecordBatch:
     leaf, cell = at // bins.cells, at % bins.cells
     feature = bins.feature_of[cell]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(leaf * len(bins.cuts) + feature), pa.array((cell - bins.first[feature]).astype(np.int32)), *[pa.array(s[at]) for s in sums]],
-        ["segment", "bin", "g", "h", "n"],
-    )
+    columns = [pa.array(leaf * len(bins.cuts) + feature), pa.array((cell - bins.first[feature]).astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*columns, *[pa.array(s) for s in sums]], ["segment", "bin", "g", "h", "n"])
+
+
+def cells_of(parts: Iterator[pa.RecordBatch], trees: Sequence[Tree], leaves: Leaves, bins: Bins) -> Iterator[pa.RecordBatch]:
+    """The sums of the cells, batch by batch; those of all batches of a task are added up."""
+    numbers, sums = np.zeros(0, np.int64), np.zeros((3, 0))
+    for batch in parts:
+        drawn = batch.column("drawn").to_numpy(zero_copy_only=False).astype(bool)
+        g, h = (lists(batch.column(c), len(trees)) for c in ("g", "h"))
+        more, add = cells_of_rows(Rows(batch.column("entries"), bins), drawn, g, h, trees, leaves)
+        both, place = np.unique(np.r_[numbers, more], return_inverse=True)
+        sums = np.stack([np.bincount(place, np.r_[a, b], minlength=len(both)) for a, b in zip(sums, add)])
+        numbers = both
+    if len(numbers):
+        yield cell_batch(numbers, sums, bins)
 
 
 def shrunk(g: np.ndarray, l1: float) -> np.ndarray:
@@ -287,9 +317,13 @@ def best_splits(parts: Iterator[pa.RecordBatch], leaves: Leaves, bins: Bins, par
         return
     segment, bin_, g, h, n = (np.concatenate([b.column(c).to_numpy() for b in table]) for c in ("segment", "bin", "g", "h", "n"))
     n_features = len(bins.cuts)
-    # sums in one order, so that they do not depend on the order of arrival
-    order = np.lexsort((h, g, bin_, segment))
-    segment, bin_, sums = segment[order], bin_[order], np.stack([g, h, n])[:, order]
+    sums = np.stack([g, h, n])
+    most = int(bin_.max()) + 2 + int(bins.zero.max(initial=0))
+    key = segment * most + bin_
+    if len(key) > 1 and not (key[1:] > key[:-1]).all():
+        # sums in one order, so that they do not depend on the order of arrival
+        order = np.lexsort((h, g, key))
+        segment, bin_, sums = segment[order], bin_[order], sums[:, order]
     starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
     # what a leaf has beyond its listed cells lies in the bin of zero
     which = segment[starts]
@@ -297,7 +331,7 @@ def best_splits(parts: Iterator[pa.RecordBatch], leaves: Leaves, bins: Bins, par
     rest[2] = np.round(rest[2])
     segment, bin_ = np.r_[segment, which], np.r_[bin_, bins.zero[which % n_features]]
     sums = np.concatenate([sums, np.where(rest[2] > 0, rest, 0.0)], axis=1)
-    order = np.lexsort((bin_, segment))
+    order = np.argsort(segment * most + bin_, kind="stable")
     segment, bin_, sums = segment[order], bin_[order], sums[:, order]
     starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
     sizes = np.diff(np.append(starts, len(segment)))
@@ -344,6 +378,7 @@ def grown(search: Search, totals: Sequence[tuple[float, float, float]], bins: Bi
         if not open_:
             break
         slots: list[dict[int, int]] = [{} for _ in trees]
+        open_.sort()
         for at, (k, node) in enumerate(open_):
             slots[k][node] = at
         best: dict[int, tuple] = {}
@@ -418,24 +453,29 @@ class InTask:
     """The rows of a training that is one partition."""
 
     def __init__(self, parts: Iterator[pa.RecordBatch], bins: Bins, base: Sequence[float], objective: Objective, params: Params):
-        self.state = pa.concat_batches([b for b in parts if b.num_rows])
-        self.bins, self.base, self.objective, self.params = bins, base, objective, params
+        batch = pa.concat_batches([b for b in parts if b.num_rows])
+        self.rows, self.bins, self.objective, self.params = Rows(batch.column("entries"), bins), bins, objective, params
+        self.column = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "query", "y", "w", "held")}
+        self.held = self.column["held"].astype(bool)
+        self.margins = np.tile(np.array(base, float), (batch.num_rows, 1))
 
     def advance(self, last: list[Tree], number: int) -> tuple[list, float | None, float | None]:
-        moved = advance(iter([self.state]), last, self.bins, self.base)
-        self.state = pa.concat_batches(list(with_gradients(moved, self.objective, number, self.params, None)))
-        column = {c: self.state.column(c).to_numpy(zero_copy_only=False) for c in ("drawn", "held", "loss", "loss_w")}
-        mine, held = column["drawn"].astype(bool), column["held"].astype(bool)
-        g, h = (lists(self.state.column(c), self.objective.width)[mine].sum(axis=0) for c in ("g", "h"))
+        if last:
+            for k, (tree, node) in enumerate(zip(last, self.rows.nodes(last))):
+                self.margins[:, k] += np.array(tree.value)[node]
+        self.g, self.h, loss, loss_w = self.objective.gradients(self.margins, self.column, None)
+        self.drawn = drawn(self.column["uid"], number, self.params.rows, self.params.seed) & ~self.held
         losses = []
-        for some in (~held, held):
-            weight = column["loss_w"][some].sum()
-            losses.append(float(column["loss"][some].sum() / weight) if weight else None)
-        return [(a, b, float(mine.sum())) for a, b in zip(g, h)] if mine.any() else [], *losses
+        for some in (~self.held, self.held):
+            weight = loss_w[some].sum()
+            losses.append(float(loss[some].sum() / weight) if weight else None)
+        n = float(self.drawn.sum())
+        sums = zip(self.g[self.drawn].sum(axis=0), self.h[self.drawn].sum(axis=0))
+        return [(a, b, n) for a, b in sums] if n else [], *losses
 
     def search(self, trees: list[Tree], leaves: Leaves) -> list:
-        cells = cells_of(iter([self.state]), trees, leaves, self.bins)
-        return [r for b in best_splits(cells, leaves, self.bins, self.params) for r in b.to_pylist()]
+        cells = cell_batch(*cells_of_rows(self.rows, self.drawn, self.g, self.h, trees, leaves), self.bins)
+        return [r for b in best_splits(iter([cells]), leaves, self.bins, self.params) for r in b.to_pylist()]
 
 
 def boosted(rows: InSpark | InTask, bins: Bins, params: Params) -> Iterator[tuple[list[Tree], float | None, float | None]]:
@@ -478,28 +518,31 @@ def binned_rows(rows: DataFrame, bins: Bins, query: bool, parts: int) -> DataFra
     return stage(found, "binned")
 
 
-def fit(
+@dataclass
+class Binned:
+    """Rows that are ready to be boosted, as often as wanted."""
+
+    table: DataFrame
+    bins: Bins
+    parts: int
+    hot: list
+
+
+def binned(
     rows: DataFrame,
     label: str,
     objective: Objective,
-    params: Params = Params(),
+    bins: int = 64,
     weight: str | None = None,
     held: str | None = None,
-    query: str | None = None,
-    names: Sequence[str] = (),
+    group: str | None = None,
     part_cells: int = PART_CELLS,
-) -> Booster:
-    """Boost ``rows`` (with a vector ``features``).
-
-    Rows with ``held`` true are not trained on; training stops after ``patience`` rounds without a
-    better loss on them, and the rounds up to the best one are kept; the model's ``history`` has both
-    losses after every round.  A query with very many rows is spread over the partitions.
-    """
-    spark = rows.sparkSession
+) -> Binned:
+    """``rows`` (with a vector ``features``) in bins.  ``group`` is the query of a ranking, or a fold."""
     chosen = stage(
         rows.select(
             F.monotonically_increasing_id().alias("uid"),
-            (F.col(query).cast("long") if query else F.lit(0).cast("long")).alias("query"),
+            (F.col(group).cast("long") if group else F.lit(0).cast("long")).alias("query"),
             F.col(label).cast("double").alias("y"),
             (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
             (F.coalesce(F.col(held), F.lit(False)) if held else F.lit(False)).alias("held"),
@@ -511,26 +554,37 @@ def fit(
     n_rows, width, cells = chosen.agg(F.count(F.lit(1)), F.max("width"), F.sum(F.size("pairs"))).first()
     if not n_rows:
         raise ValueError("no rows to train on")
-    bins = fit_bins(chosen, width, params.bins)
+    found = fit_bins(chosen, width, bins)
     parts = max(1, min(-(-(cells + n_rows) // part_cells), 16 * shuffle_width(rows)))
     chosen, hot = objective.marked_hot(chosen, n_rows) if parts > 1 else (chosen, [])
-    table = binned_rows(chosen, bins, query is not None, parts)
+    return Binned(binned_rows(chosen, found, objective.by_query, parts), found, parts, hot)
+
+
+def train(ready: Binned, objective: Objective, params: Params = Params(), names: Sequence[str] = (), without: int | None = None) -> Booster:
+    """Boost the rows of ``ready``, but for the group ``without``.
+
+    Rows with ``held`` true are not trained on; training stops after ``patience`` rounds without a
+    better loss on them, and the rounds up to the best one are kept; the model's ``history`` has both
+    losses after every round.  A query with very many rows is spread over the partitions.
+    """
+    bins = ready.bins
+    table = ready.table if without is None else ready.table.where(F.col("query") != without)
     base = objective.start(table.where("NOT held"))
-    if parts > 1:
-        place = InSpark(table, bins, base, objective, params, hot, parts)
+    if ready.parts > 1:
+        place = InSpark(table, bins, base, objective, params, ready.hot, ready.parts)
         steps = list(boosted(place, bins, params))
         place.close()
     else:
 
-        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = [b for b in batches if b.num_rows]
             if found:
                 for number, (trees, *losses) in enumerate(boosted(InTask(iter(found), bins, base, objective, params), bins, params)):
                     body = json.dumps([asdict(t) for t in trees])
                     yield pa.RecordBatch.from_pylist([{"number": number, "body": body, "train": losses[0], "held": losses[1]}], TRAINED)
 
-        # small files are read as one partition or a few; coalesced, the rows keep their order
-        done = table.coalesce(1).mapInArrow(train, "number int, body string, train double, held double").collect()
+        # one file, so one partition, and its rows keep their order
+        done = table.coalesce(1).mapInArrow(rounds, "number int, body string, train double, held double").collect()
         steps = [([Tree(**t) for t in json.loads(r["body"])], r["train"], r["held"]) for r in sorted(done, key=lambda r: r["number"])]
     history = [(number, *losses) for number, (_, *losses) in enumerate(steps)]
     judged = [(held, number) for number, _, held in history if held is not None]
@@ -538,6 +592,31 @@ def fit(
     return Booster(bins.cuts, [trees for trees, *_ in steps[1 : most + 1]], list(base), objective, list(names), history)
 
 
+def fit(
+    rows: DataFrame,
+    label: str,
+    objective: Objective,
+    params: Params = Params(),
+    weight: str | None = None,
+    held: str | None = None,
+    query: str | None = None,
+    names: Sequence[str] = (),
+    part_cells: int = PART_CELLS,
+) -> Booster:
+    """Bin ``rows`` (with a vector ``features``) and boost them; see ``train``."""
+    return train(binned(rows, label, objective, params.bins, weight, held, query, part_cells), objective, params, names)
+
+
+def margins_of(cells: pa.Array, bins: Bins, rounds: Sequence[Sequence[Tree]], base: Sequence[float]) -> np.ndarray:
+    """Margins of rows in bins after all rounds."""
+    rows = Rows(cells, bins)
+    out = np.tile(np.array(base, float), (len(cells), 1))
+    for trees in rounds:
+        for k, (tree, node) in enumerate(zip(trees, rows.nodes(trees))):
+            out[:, k] += np.array(tree.value)[node]
+    return out
+
+
 # ------------------------------------------------------------------ the model
 
 
@@ -558,12 +637,7 @@ class Booster(Model, MLReadable, MLWritable):
             flat = column.flatten()
             index, values = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
             cells = pa.ListArray.from_arrays(column.offsets, pa.array(bins.entries(index, values), pa.int32()))
-            rows = Rows(cells, bins)
-            out = np.tile(np.array(base, float), (len(pairs), 1))
-            for trees in rounds:
-                for k, (tree, node) in enumerate(zip(trees, rows.nodes(trees))):
-                    out[:, k] += np.array(tree.value)[node]
-            return pairs.__class__(list(objective.answers(out)))
+            return pairs.__class__(list(objective.answers(margins_of(cells, bins, rounds, base))))
 
         found = dataset.withColumn("_answers", margins(nonzero()))
         if not objective.classes:

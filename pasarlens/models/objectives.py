@@ -22,6 +22,7 @@ class Objective:
 
     width = 1
     classes = 0
+    by_query = False  # whether the rows of a query are needed together
 
     def start(self, rows: DataFrame) -> list[float]:
         """The margins before the first tree."""
@@ -116,6 +117,8 @@ class LambdaRank(Objective):
     parts and handed to the tasks; what they get from the other rows is summed over the tasks.
     """
 
+    by_query = True
+
     def __init__(self, gains: Sequence[float] = (0, 1, 3, 7), truncation: int = 30, hot_rows: int | None = None):
         self.gains, self.truncation, self.hot_rows = [float(x) for x in gains], truncation, hot_rows
 

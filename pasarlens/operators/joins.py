@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from pasarlens.functions import features as X
 from pasarlens.operators.aggregates import PAIR
+from pasarlens.operators.ranking import global_position
 from pasarlens.operators.skew import join_stats
 from pasarlens.session import stage
 
+# Bits of one bitmap: items of a block that users meet together.
+UNSEEN_BLOCK = 32_768
+
 
 def user_product_features(
     engagement: DataFrame, spending: DataFrame, as_of: str, how: str = "left"
@@ -94,6 +98,35 @@ def unseen_items(interactions: DataFrame, user_id: object) -> DataFrame:
     return items.join(seen, "product_id", "left_anti")
 
 
+def unseen_of_users(interactions: DataFrame, users: DataFrame, block: int = UNSEEN_BLOCK) -> DataFrame:
+    """(user_id, product_id) of all items that each of the asked users has not touched.
+
+    Items have dense codes in blocks of ``block``.  What a user has touched is one bitmap per block,
+    built by partial aggregation, so a user with a long history costs no more than one with a short one.
+    Each user meets every item block once, by an equi-join on the block number, and the block's items
+    are read against the bitmap.  A user nobody knows has touched nothing.
+    """
+    if not 0 < block <= UNSEEN_BLOCK:
+        raise ValueError(f"a bitmap has at most {UNSEEN_BLOCK} bits")
+    touched = stage(interactions.select(*PAIR).dropna(), "touched")
+    asked = stage(users.select("user_id").dropna().distinct(), "asked")
+    codes = stage(global_position(touched.select("product_id").distinct(), ["product_id"], "code"), "items")
+    n_items = codes.count()
+    at, bit = F.floor(F.col("code") / block).cast("int"), (F.col("code") % block).cast("int")
+    # a block's items in the order of their bits
+    blocks = codes.groupBy(at.alias("block")).agg(F.sort_array(F.collect_list(F.struct(bit.alias("bit"), "product_id"))).alias("items"))
+    held = mark_groups(touched, asked, "user_id", ["product_id"]).where("_inside").select(*PAIR)
+    sizes = held.groupBy("product_id").agg(F.count(F.lit(1)).alias("_rows"))
+    coded = join_stats(held, codes.join(sizes, "product_id"), ["product_id"], "_rows", ["user_id"], how="inner")
+    seen = coded.groupBy("user_id", at.alias("block")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("seen"))
+    grid = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(n_items - 1, 0) // block))))
+    whole = grid.join(seen, ["user_id", "block"], "left").join(blocks, "block")
+    byte = F.expr("substring(seen, item.bit div 8 + 1, 1)")
+    set_ = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), F.expr("item.bit % 8"))
+    pairs = whole.select("user_id", "seen", F.explode("items").alias("item"))
+    return pairs.where(F.col("seen").isNull() | (set_ == 0)).select("user_id", F.col("item.product_id").alias("product_id"))
+
+
 def unseen_counts(interactions: DataFrame) -> DataFrame:
     """Per user: items touched and items left, from counts alone."""
     items = distinct_values(interactions, "product_id").agg(F.count(F.lit(1))).scalar()

@@ -3,55 +3,47 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pasarlens.models import ranker, recommender, tasks
-from pasarlens.models.tasks import Budget, Result
-from pasarlens.models.tuning import CHURN_SPACE, LTV_SPACE
+from pasarlens.models.tasks import Result
 from pasarlens.operators.aggregates import matrix_stats
 from pasarlens.operators import prep
+from pasarlens.plans.jobs import at_once
 from pasarlens.sources.model_store import load_model, model_registry, save_model, saved_models, write_registry
 from pasarlens.sources.sinks import write_matrix
 
 # Registry lines - task, model family, metric shown.
 REGISTRY = {
-    "churn-prediction": ("Churn Prediction", "Boosted trees, random search", "auc"),
-    "user-segmentation": ("User Segmentation", "Random forest", "f1_weighted"),
-    "ltv-prediction": ("LTV Prediction", "Boosted regression trees, random search", "r2"),
+    "churn-prediction": ("Churn Prediction", "Boosted trees, adaptive search", "auc"),
+    "user-segmentation": ("User Segmentation", "Softmax boosted trees", "f1_weighted"),
+    "ltv-prediction": ("LTV Prediction", "Boosted regression trees, adaptive search", "r2"),
     "fraud-detection": ("Fraud Detection", "Boosted trees + SMOTE", "auc"),
-    "review-sentiment": ("Sentiment Analysis", "Logistic regression + TF-IDF", "f1_weighted"),
-    "review-rating": ("Rating Prediction", "Linear regression + TF-IDF", "r2"),
+    "review-sentiment": ("Sentiment Analysis", "Softmax boosted trees + TF-IDF", "f1_weighted"),
+    "review-rating": ("Rating Prediction", "Boosted regression trees + TF-IDF", "r2"),
     "product-trending": ("Trending Detection", "Boosted trees", "auc"),
     "product-click-through-rate": ("CTR Prediction", "Boosted regression trees", "r2"),
     "product-conversion-rate": ("CVR Prediction", "Boosted regression trees", "r2"),
     "search-ctr": ("Search CTR", "Boosted trees", "auc"),
     "collaborative-filtering": ("Collaborative Filter", "ALS on scores", "mse"),
-    "search-ranking": ("Search Ranking", "Boosted trees on centred relevance", "ndcg@10"),
+    "search-ranking": ("Search Ranking", "Boosted trees on NDCG", "ndcg@10"),
 }
 METRIC_NAMES = {"auc": "AUC", "f1_weighted": "F1", "r2": "R2", "mse": "MSE", "ndcg@10": "NDCG@10"}
 
 
 @dataclass(frozen=True)
 class Plan:
-    """How much to train; the defaults follow the reported sizes of the tasks."""
+    """Sizes that several tasks share; the tasks' own budgets are the defaults of ``models.tasks``."""
 
-    budget: Budget | None = None  # one for all tasks; none: the defaults of each
-    churn_space: Mapping = None
-    ltv_space: Mapping = None
-    text_iterations: int = 100
     max_features: int = 3000
     min_df: int = 5
     epochs: Sequence[int] = tuple(range(1, 11))
     rank: int = 64
 
-    def __post_init__(self):
-        object.__setattr__(self, "churn_space", self.churn_space or CHURN_SPACE)
-        object.__setattr__(self, "ltv_space", self.ltv_space or LTV_SPACE)
-
 
 def train_recommender(
     spark: SparkSession, tables: Sequence[DataFrame], root: str, saved_at: str, **params
@@ -79,7 +71,8 @@ def save_result(spark: SparkSession, result: Result, root: str, saved_at: str) -
     if recipe:
         notes |= {"key": recipe.key, "numbers": recipe.numbers, "texts": recipe.texts, "tables": list(recipe.tables)}
     tables = recipe.tables if recipe else {}
-    return save_model(spark, result.model, result.name, result.metrics, root, saved_at, notes, tables)
+    metrics = {**result.metrics, "test_rows": result.predictions.count()}
+    return save_model(spark, result.model, result.name, metrics, root, saved_at, notes, tables)
 
 
 def score_new(spark: SparkSession, root: str, path: str, rows: DataFrame) -> DataFrame:
@@ -114,29 +107,33 @@ def train_all(
     saved_at: str,
     plan: Plan = Plan(),
 ) -> DataFrame:
-    """Train, save and register every task; returns the registry (one line per task)."""
+    """Train, save and register every task; returns the registry (one line per task).
+
+    The tasks run at the same time.  Each keeps its result (see ``tasks.kept``), so a run that was
+    stopped goes on with the tasks, and within a search with the trials, that it has not finished.
+    """
     texts = tasks.review_rows(reviews, plan.max_features, plan.min_df)
     goods = tasks.product_rows(products)
-    own = {"budget": plan.budget} if plan.budget else {}
-    results = [
-        tasks.churn(users, space=plan.churn_space, **own),
-        tasks.segmentation(users, **own),
-        tasks.ltv(users, space=plan.ltv_space, **own),
-        tasks.fraud(transactions, **own),
-        tasks.sentiment(texts, plan.text_iterations),
-        tasks.rating(texts, plan.text_iterations),
-        tasks.trending(goods, **own),
-        tasks.product_rate(goods, "click_through_rate", **own),
-        tasks.product_rate(goods, "conversion_rate", **own),
-        tasks.search_ctr(searches, **own),
-        collaborative_filter(interactions, plan)[0],
-        ranker.search_rank(searches, **own),
+    jobs = {
+        "churn-prediction": lambda: tasks.churn(users),
+        "user-segmentation": lambda: tasks.segmentation(users),
+        "ltv-prediction": lambda: tasks.ltv(users),
+        "fraud-detection": lambda: tasks.fraud(transactions),
+        "review-sentiment": lambda: tasks.sentiment(texts),
+        "review-rating": lambda: tasks.rating(texts),
+        "product-trending": lambda: tasks.trending(goods),
+        "product-click-through-rate": lambda: tasks.product_rate(goods, "click_through_rate"),
+        "product-conversion-rate": lambda: tasks.product_rate(goods, "conversion_rate"),
+        "search-ctr": lambda: tasks.search_ctr(searches),
+        "collaborative-filtering": lambda: collaborative_filter(interactions, plan)[0],
+        "search-ranking": lambda: ranker.search_rank(searches),
+    }
+    results = at_once(spark, jobs)
+    paths = at_once(spark, {name: lambda r=r: save_result(spark, r, root, saved_at) for name, r in results.items()})
+    lines = [
+        {"task": REGISTRY[name][0], "model": REGISTRY[name][1], "key_metric": key_metric(result), "path": paths[name]}
+        for name, result in results.items()
     ]
-    lines = []
-    for result in results:
-        path = save_result(spark, result, root, saved_at)
-        task, family, _ = REGISTRY[result.name]
-        lines.append({"task": task, "model": family, "key_metric": key_metric(result), "path": path})
     registry = model_registry(spark, lines)
     write_registry(registry, f"{root}/model_registry")
     return registry

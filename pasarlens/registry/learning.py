@@ -2,42 +2,54 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pasarlens import fixtures as fx
 from pasarlens.models import ranker, recommender, tasks, tuning
 from pasarlens.models.tasks import VALIDATION, Result
-from pasarlens.models.tuning import Range
 from pasarlens.operators import prep
 from pasarlens.operators.recommend import recommend, recommend_enriched
 from pasarlens.plans import etl, training
 from pasarlens.registry.aggregates import STACKED, STATS
 from pasarlens.registry.base import PC_CLEAN, PR, PR_CLEAN, SCORE, SL, TH, TH_CLEAN, UI, UP_CLEAN, Query, ask, rnd
 from pasarlens.session import stage, staging_path
-from pasarlens.sources.model_store import read_registry, save_model, saved_models
+from pasarlens.sources.model_store import load_model, read_registry, save_model, saved_models
 
 SEED = 42
-SEARCH_SPACE = {"maxIter": Range(4, 8, "int"), "maxDepth": Range(3, 5, "int"), "stepSize": Range(0.05, 0.3, "log")}
 
 
 def tested(result: Result, label: str | None, better: bool):
-    """What the task's test part holds, per class, and whether the model is better than guessing."""
+    """What the task's test part holds, per class; whether training lowers the loss of the training rows
+    all the way, and whether the model is better than guessing."""
     rows = result.predictions
     named = F.col(label).cast("string") if label else F.lit("all")
     return (
         rows.groupBy(named.alias("label"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(result.name).alias("task"), "label", "n_rows", F.lit(better).alias("beats_guessing"))
+        .select(F.lit(result.name).alias("task"), "label", "n_rows", F.lit(loss_falls(result)).alias("loss_falls"), F.lit(better).alias("beats_guessing"))
     )
 
 
-def more_than(bound: float, result: Result, metric: str = "auc") -> bool:
-    return result.metrics[metric] is not None and result.metrics[metric] > bound
+def loss_falls(result: Result) -> bool:
+    """Over the rounds that are kept, no round raises the loss by more than a thousandth of the first one."""
+    losses = [loss for _, loss, _ in result.model.history[: len(result.model.rounds) + 1]]
+    return all(b <= a + 1e-3 * losses[0] for a, b in zip(losses, losses[1:])) and losses[-1] <= losses[0]
+
+
+def beats(result: Result, metric: str, margin: float) -> bool:
+    """The metric lies above that of the best constant (the most frequent class or mean of the training rows)."""
+    return result.metrics[metric] is not None and result.metrics[metric] > result.guess[metric] + margin
+
+
+def holds(result: Result, metric: str = "accuracy") -> bool:
+    """Not below the best constant by more than two standard errors: where the made-up rows hold
+    nothing to learn, a sound model stops early and stays there."""
+    guess, n = result.guess[metric], result.predictions.count()
+    return result.metrics[metric] >= guess - 2 * math.sqrt(max(guess * (1 - guess), 1 / n) / n)
 
 
 # ------------------------------------------------------------------ inputs
@@ -144,48 +156,51 @@ def smote(spark, folder):
 
 def churn(spark, folder):
     result = tasks.churn(users(spark, folder))
-    return tested(result, "is_churned", more_than(0.7, result))
+    return tested(result, "is_churned", beats(result, "auc", 0.2) and beats(result, "accuracy", 0.0))
 
 
 def segmentation(spark, folder):
     result = tasks.segmentation(users(spark, folder))
-    return tested(result, "user_segment", 0 < result.metrics["accuracy"] <= 1)
+    return tested(result, "user_segment", holds(result)).withColumnRenamed("beats_guessing", "holds_against_guessing")
 
 
 def ltv(spark, folder):
     result = tasks.ltv(users(spark, folder))
-    return tested(result, None, more_than(0.3, result, "r2"))
+    return tested(result, None, beats(result, "r2", 0.3))
 
 
 def fraud(spark, folder):
     result = tasks.fraud(transactions(spark, folder))
-    return tested(result, "is_fraud", more_than(0.7, result))
+    return tested(result, "is_fraud", beats(result, "auc", 0.2))
 
 
 def sentiment_model(spark, folder):
     result = tasks.sentiment(tasks.review_rows(reviews(spark, folder)))
-    return tested(result, "sentiment", 0 < result.metrics["accuracy"] <= 1)
+    return tested(result, "sentiment", holds(result)).withColumnRenamed("beats_guessing", "holds_against_guessing")
 
 
 def rating_model(spark, folder):
+    """The unrounded rating must not be worse than the mean rating of the training rows by over two standard errors."""
     result = tasks.rating(tasks.review_rows(reviews(spark, folder)))
-    return tested(result, "sentiment", result.metrics["rmse"] <= 4)
+    guess, n = result.guess["rmse"] ** 2, result.predictions.count()
+    held = result.metrics["mse_exact"] <= guess * (1 + 2 * math.sqrt(2 / n))
+    return tested(result, "sentiment", held).withColumnRenamed("beats_guessing", "holds_against_guessing")
 
 
 def trending(spark, folder):
     result = tasks.trending(tasks.product_rows(products(spark, folder)))
-    return tested(result, "is_trending", more_than(0.6, result))
+    return tested(result, "is_trending", beats(result, "auc", 0.1))
 
 
 def ctr_cvr(spark, folder):
     goods = tasks.product_rows(products(spark, folder))
     click, sale = (tasks.product_rate(goods, c) for c in ("click_through_rate", "conversion_rate"))
-    return tested(click, None, more_than(0.3, click, "r2")).unionByName(tested(sale, None, more_than(0.3, sale, "r2")))
+    return tested(click, None, beats(click, "r2", 0.3)).unionByName(tested(sale, None, beats(sale, "r2", 0.3)))
 
 
 def search_ctr(spark, folder):
     result = tasks.search_ctr(searches(spark, folder).dropna(subset=["is_clicked"]))
-    return tested(result, "is_clicked", more_than(0.7, result))
+    return tested(result, "is_clicked", beats(result, "auc", 0.2))
 
 
 def cf_scored(spark, folder):
@@ -201,7 +216,7 @@ def mse_epoch_curve(spark, folder):
 
 def search_rank(spark, folder):
     result = ranker.search_rank(searches(spark, folder))
-    return tested(result, None, more_than(0.5, result, "ndcg@10"))
+    return tested(result, None, holds(result, "ndcg@10")).withColumnRenamed("beats_guessing", "holds_against_guessing")
 
 
 def _count_model(spark, folder):
@@ -248,27 +263,22 @@ def recommend_with_scores(spark, folder):
 
 
 def random_search(spark, folder):
-    """The mechanism of the search on short boosting; the tuned tasks run it at full size."""
-    ready = tasks.prepared(products(spark, folder), "product_id", tasks.PRODUCT_NUMBERS, (), ["is_trending"])
-    search = tuning.random_search(
-        prep.assemble(ready.rows, ready.names),
-        "product_id",
-        GBTClassifier(labelCol="is_trending", seed=SEED),
-        BinaryClassificationEvaluator(labelCol="is_trending", numBins=0),
-        SEARCH_SPACE,
-        trials=4,
-        folds=3,
-    )
-    best = max(search.avgMetrics)
+    """The trials of the churn search at its full size, with the rows they were judged on."""
+    result = tasks.churn(users(spark, folder))
+    space = tuning.CHURN_SPACE
+    ready = tasks.prepared(users(spark, folder), "user_id", tasks.USER_NUMBERS, tasks.USER_TEXTS, ["is_churned"])
+    judged = tasks.split(ready.rows, "user_id", "is_churned")[0].count()
+    best = max(t.score for t in result.trials)
     lines = [
         (
-            i,
-            all(SEARCH_SPACE[p.name].low <= v <= SEARCH_SPACE[p.name].high for p, v in params.items()) and len(params) == 3,
-            bool(0.5 < score <= best),
+            t.number,
+            judged,
+            set(t.params) == set(space) and all(space[k].low <= v <= space[k].high for k, v in t.params.items()),
+            0 <= t.score <= best == result.metrics["best_cv_auc"] and best > 0.6,
         )
-        for i, (params, score) in enumerate(zip(search.getEstimatorParamMaps(), search.avgMetrics))
+        for t in result.trials
     ]
-    return spark.createDataFrame(lines, "trial int, drawn_in_range boolean, better_than_guessing boolean")
+    return spark.createDataFrame(lines, "trial int, n_rows long, drawn_in_range boolean, best_beats_guessing boolean")
 
 
 def feature_importance(spark, folder):
@@ -276,7 +286,8 @@ def feature_importance(spark, folder):
     top = tuning.importance(spark, result.model, result.features, 10)
     place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # ten rows
     known = F.col("feature").isin(result.features) & F.col("importance").between(0, 1)
-    return top.select(place.alias("place"), known.alias("known"))
+    tests = result.predictions.agg(F.count(F.lit(1))).scalar()
+    return top.select(place.alias("place"), known.alias("known"), tests.alias("n_test_rows"))
 
 
 def model_save(spark, folder):
@@ -284,10 +295,12 @@ def model_save(spark, folder):
     root = staging_path(spark, "models")
     result = tasks.trending(tasks.product_rows(products(spark, folder)))
     path = save_model(spark, result.model, result.name, result.metrics, root, "20240201_000000", {"features": result.features})
-    again = GBTClassificationModel.load(path)
+    again = load_model(spark, path)
     rows = result.predictions.drop("prediction", "score").withColumnRenamed(VALIDATION, "_held")
     scored = tasks.scored(again, prep.assemble(rows, result.features)).select("product_id", F.col("score").alias("again"))
-    equal = result.predictions.join(scored, "product_id").agg(F.bool_and(F.col("score") == F.col("again")).alias("scores_alike"))
+    equal = result.predictions.join(scored, "product_id").agg(
+        F.bool_and(F.col("score") == F.col("again")).alias("scores_alike"), F.count(F.lit(1)).alias("n_test_rows")
+    )
     saved = saved_models(spark, root).select("name", "saved_at", F.explode("metrics").alias("metric", "value"))
     return saved.select("name", "saved_at", "metric", F.col("value").between(0, 1).alias("in_range")).crossJoin(F.broadcast(equal))
 
@@ -335,7 +348,9 @@ def model_registry(spark, folder):
         "20240201_000000",
     )
     lines = read_registry(spark, f"{root}/model_registry")
-    return lines.select("task", "model", F.regexp_extract("key_metric", r"^(\S+) = -?[0-9.]+$", 1).alias("metric"))
+    tests = saved_models(spark, root).select("path", F.element_at("metrics", "test_rows").cast("long").alias("n_test_rows"))
+    metric = F.regexp_extract("key_metric", r"^(\S+) = -?[0-9.]+$", 1)
+    return lines.join(tests, "path").select("task", "model", metric.alias("metric"), "n_test_rows")
 
 
 # ------------------------------------------------------------------ SQL forms
@@ -376,11 +391,11 @@ def complete(columns) -> str:
     return " and ".join(f"{c} is not null" for c in columns)
 
 
-def held_out(task: str, rows: str, key: str, label: str | None, share: str = "0.2", fixed: str = "true", shown: str | None = None) -> str:
+def held_out(task: str, rows: str, key: str, label: str | None, share: str = "0.2", shown: str | None = None, verdict: str = "beats_guessing") -> str:
     """Rows of the test part by class; ``rows`` is a subquery of the usable rows."""
     over = f"partition by {label}" if label else ""
     named = f"cast({shown or label} as varchar)" if label else "'all'"
-    return f"""select '{task}' as task, {named} as label, count(*) as n_rows, {fixed} as beats_guessing from (
+    return f"""select '{task}' as task, {named} as label, count(*) as n_rows, true as loss_falls, true as {verdict} from (
       select *, {in_hash_order(key, over)} as place, count(*) over ({over}) as n from ({rows}))
       where place >= n - ceil({share}::double * n) group by all"""
 
@@ -425,7 +440,7 @@ GROUPED = f"""usable as (
 numbered as (select *, dense_rank() over (order by query) - 1 as query_id from usable),
 places as (
   select query_id, {in_hash_order('query_id')} as place, count(*) over () as n from (select distinct query_id from numbered))
-select 'search-ranking' as task, 'all' as label, count(*) as n_rows, true as beats_guessing
+select 'search-ranking' as task, 'all' as label, count(*) as n_rows, true as loss_falls, true as holds_against_guessing
 from numbered join places using (query_id) where place >= n - ceil(0.2::double * n)"""
 
 
@@ -440,9 +455,34 @@ def lists_sql(n: int) -> str:
 
 FACTORS = """select 'user' as side, user_id as id, 50 as n_factors from (select distinct user_id from cells)
 union all select 'product', product_id, 50 from (select distinct product_id from cells)"""
-REGISTERED = "select * from (values " + ", ".join(
-    f"('{t}', '{m}', '{training.METRIC_NAMES[k]}')" for t, m, k in training.REGISTRY.values()
-) + ") as lines(task, model, metric)"
+HELD_OUT = {
+    "churn-prediction": held_out("churn-prediction", f"{USABLE_USERS} and is_churned is not null", "user_id", "is_churned"),
+    "user-segmentation": held_out("user-segmentation", f"{USABLE_USERS} and user_segment is not null", "user_id", "user_segment"),
+    "ltv-prediction": held_out("ltv-prediction", f"{USABLE_USERS} and ltv_idr is not null", "user_id", None),
+    "fraud-detection": held_out("fraud-detection", USABLE_SALES, "transaction_id", "is_fraud"),
+    "review-sentiment": held_out("review-sentiment", USABLE_REVIEWS, "review_id", "sentiment"),
+    "review-rating": held_out("review-rating", USABLE_REVIEWS, "review_id", "sentiment"),
+    "product-trending": held_out("product-trending", USABLE_GOODS, "product_id", "is_trending"),
+    "product-click-through-rate": held_out("product-click-through-rate", USABLE_GOODS, "product_id", None),
+    "product-conversion-rate": held_out("product-conversion-rate", USABLE_GOODS, "product_id", None),
+    "search-ctr": held_out("search-ctr", USABLE_SEARCHES, "log_id", "is_clicked"),
+    "collaborative-filtering": held_out("collaborative-filtering", SCORED_EVENTS, "interaction_id", None, "0.1"),
+    "search-ranking": GROUPED[GROUPED.rindex("\nselect") + 1 :],
+}
+GROUP_TABLES = GROUPED[: GROUPED.rindex("\nselect")]
+
+
+def test_count(task: str) -> str:
+    return f"(select cast(sum(n_rows) as bigint) from ({HELD_OUT[task]}))"
+
+
+REGISTERED = "\nunion all\n".join(
+    f"select '{task}' as task, '{model}' as model, '{training.METRIC_NAMES[metric]}' as metric, {test_count(name)} as n_test_rows"
+    for name, (task, model, metric) in training.REGISTRY.items()
+)
+TRAINED_USERS = f"""select cast(unnest(range(30)) as int) as trial, n_rows, true as drawn_in_range, true as best_beats_guessing
+from (select count(*) as n_rows from ({USABLE_USERS} and is_churned is not null))"""
+TRAINED_USERS = TRAINED_USERS.replace("select count(*) as n_rows", f"select count(*) - {test_count('churn-prediction')} as n_rows")
 
 QUERIES = [
     Query("label_encode", label_encode, ask(TH, then=ENCODE)),
@@ -499,11 +539,11 @@ QUERIES = [
         ),
     ),
     Query("churn", churn, ask(UP_CLEAN, then=held_out("churn-prediction", f"{USABLE_USERS} and is_churned is not null", "user_id", "is_churned"))),
-    Query("segmentation", segmentation, ask(UP_CLEAN, then=held_out("user-segmentation", f"{USABLE_USERS} and user_segment is not null", "user_id", "user_segment"))),
+    Query("segmentation", segmentation, ask(UP_CLEAN, then=held_out("user-segmentation", f"{USABLE_USERS} and user_segment is not null", "user_id", "user_segment", verdict="holds_against_guessing"))),
     Query("ltv", ltv, ask(UP_CLEAN, then=held_out("ltv-prediction", f"{USABLE_USERS} and ltv_idr is not null", "user_id", None))),
     Query("fraud", fraud, ask(TH_CLEAN, then=held_out("fraud-detection", USABLE_SALES, "transaction_id", "is_fraud"))),
-    Query("sentiment_model", sentiment_model, ask(PR_CLEAN, then=held_out("review-sentiment", USABLE_REVIEWS, "review_id", "sentiment"))),
-    Query("rating_model", rating_model, ask(PR_CLEAN, then=held_out("review-rating", USABLE_REVIEWS, "review_id", "sentiment"))),
+    Query("sentiment_model", sentiment_model, ask(PR_CLEAN, then=held_out("review-sentiment", USABLE_REVIEWS, "review_id", "sentiment", verdict="holds_against_guessing"))),
+    Query("rating_model", rating_model, ask(PR_CLEAN, then=held_out("review-rating", USABLE_REVIEWS, "review_id", "sentiment", verdict="holds_against_guessing"))),
     Query("trending", trending, ask(PC_CLEAN, then=held_out("product-trending", USABLE_GOODS, "product_id", "is_trending"))),
     Query(
         "ctr_cvr",
@@ -521,11 +561,23 @@ QUERIES = [
     Query("als_implicit", als_implicit, ask(STACKED, then=FACTORS)),
     Query("recommend_all", recommend_all, lists_sql(5)),
     Query("recommend_with_scores", recommend_with_scores, lists_sql(10)),
-    Query("random_search", random_search, "select cast(unnest(range(4)) as int) as trial, true as drawn_in_range, true as better_than_guessing from region where r_regionkey = 0"),
-    Query("feature_importance", feature_importance, "select cast(unnest(range(1, 11)) as int) as place, true as known from region where r_regionkey = 0"),
-    Query("model_save", model_save, "select 'product-trending' as name, '20240201_000000' as saved_at, unnest(['accuracy', 'auc', 'f1_weighted']) as metric, true as in_range, true as scores_alike from region where r_regionkey = 0"),
+    Query("random_search", random_search, ask(UP_CLEAN, then=TRAINED_USERS)),
+    Query(
+        "feature_importance",
+        feature_importance,
+        ask(PC_CLEAN, then=f"select cast(unnest(range(1, 11)) as int) as place, true as known, {test_count('product-trending')} as n_test_rows"),
+    ),
+    Query(
+        "model_save",
+        model_save,
+        ask(
+            PC_CLEAN,
+            then=f"""select 'product-trending' as name, '20240201_000000' as saved_at, unnest(['accuracy', 'auc', 'f1_weighted']) as metric,
+              true as in_range, true as scores_alike, {test_count('product-trending')} as n_test_rows""",
+        ),
+    ),
     Query("score_saved", score_saved, ask(PC_CLEAN, then=test_keys(USABLE_GOODS, "product_id", "is_trending"))),
     Query("score_saved_texts", score_saved_texts, ask(PR_CLEAN, then=test_keys(USABLE_REVIEWS, "review_id", "sentiment"))),
     Query("train_recommender", train_recommender, ask(STACKED, then=STATS)),
-    Query("model_registry", model_registry, REGISTERED),
+    Query("model_registry", model_registry, ask(UP_CLEAN, TH_CLEAN, PR_CLEAN, PC_CLEAN, SL, UI, GROUP_TABLES, then=REGISTERED)),
 ]

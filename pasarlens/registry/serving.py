@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens import fixtures as fx
@@ -39,20 +36,17 @@ def serve_stream_requests(spark, folder):
     return spark.read.parquet(f"{root}/responses").select("request_id", "status", "response")
 
 
-FEW_USERS = (1, 2, 3, 5, 8)
-
-
 def unseen_items_of_users(spark, folder):
-    """Products that each of a few users has not touched, as rows."""
+    """Every product that a user whose id is divisible by 50 has not touched, as rows."""
     rows = stage(fx.user_interactions(spark, folder).select("user_id", "product_id"), "pairs")
-    found = [J.unseen_items(rows, u).select(F.lit(u).cast("long").alias("user_id"), "product_id") for u in FEW_USERS]
-    return reduce(DataFrame.unionByName, found)
+    return J.unseen_of_users(rows, rows.where(F.col("user_id") % 50 == 0))
 
 
 def history_of_users(spark, folder):
-    """History of a few users; the one nobody knows gives a row with an error."""
-    asked = spark.createDataFrame([(u,) for u in (*FEW_USERS, -1)], "user_id long")
-    return J.history_of(asked, fx.user_interactions(spark, folder))
+    """History of all users that the requests ask for; each that nobody knows gives a row with an error."""
+    asked = parse_requests(fx.requests(spark, folder)).where("status = 200").select("user_id")
+    events = fx.user_interactions(spark, folder).withColumn("user_id", F.col("user_id").cast("string"))
+    return J.history_of(asked, events)
 
 
 def user_interactions_list(spark, folder):
@@ -70,22 +64,24 @@ select request_id, status, case when status = 200 then
   else '{"error":"' || error || '"}' end as response
 from opened o left join lists l on o.user_id = cast(l.user_id as varchar)"""
 
-ASKED = ", ".join(f"({u}::bigint)" for u in FEW_USERS)
-UNSEEN = f"""select user_id, product_id from (values {ASKED}) as asked(user_id),
-  (select distinct product_id from user_interactions where product_id is not null) as items
+UNSEEN = """select distinct user_id, product_id
+from (select distinct user_id from user_interactions where user_id % 50 = 0),
+  (select distinct product_id from user_interactions where product_id is not null)
 except select user_id, product_id from user_interactions"""
-HISTORY = f"""select user_id, product_id, count(*) over (partition by user_id) as total_interactions,
+HISTORY = """asked as (select distinct user_id from opened where status = 200),
+touched as (select distinct cast(user_id as varchar) as user_id, product_id from user_interactions
+  where user_id is not null and product_id is not null)
+select user_id, product_id, count(*) over (partition by user_id) as total_interactions,
   cast(null as varchar) as error
-from (select distinct user_id, product_id from user_interactions where user_id in ({", ".join(map(str, FEW_USERS))}))
+from touched where user_id in (select user_id from asked)
 union all
-select user_id, null, null, 'User not found' from (values {ASKED}, (-1::bigint)) as asked(user_id)
-where user_id not in (select user_id from user_interactions)"""
+select user_id, null, null, 'User not found' from asked where user_id not in (select user_id from touched)"""
 
 QUERIES = [
     Query("serve_requests", serve_requests, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
     Query("serve_stream", serve_stream_requests, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
     Query("unseen_items", unseen_items_of_users, ask(UI, then=UNSEEN)),
-    Query("history_of_users", history_of_users, ask(UI, then=HISTORY)),
+    Query("history_of_users", history_of_users, "with " + ",\n".join([REQ, UI, HISTORY])),
     Query(
         "list_users",
         lambda s, d: J.ids_with_total(fx.user_interactions(s, d), "user_id"),

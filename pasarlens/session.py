@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.session.timeZone": "Asia/Jakarta",
+    "spark.scheduler.mode": "FAIR",
 }
 
 

@@ -148,7 +148,8 @@ def test_splits_equal_a_search_over_all(spark, params, parts):
     one = B.Params(**{**params.__dict__, "depth": 1})
     place = B.InSpark(state, bins, [0.0], O.Squared(), one, [], parts)
     (tree,) = B.grown(place.search, [(g.sum(), h.sum(), float(n))], bins, one, 0)
-    place = B.InTask(iter([pa.RecordBatch.from_pylist([r.asDict() for r in state.collect()])]), bins, [0.0], O.Squared(), one)
+    place = B.InTask(iter([pa.RecordBatch.from_pylist([r.asDict() for r in state.orderBy("uid").collect()])]), bins, [0.0], O.Squared(), one)
+    place.g, place.h, place.drawn = g[:, None], h[:, None], np.ones(n, bool)
     assert B.grown(place.search, [(g.sum(), h.sum(), float(n))], bins, one, 0)[0].gain == pytest.approx(tree.gain)
     allowed = None
     if params.columns < 1:
