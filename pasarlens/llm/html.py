@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -19,8 +21,12 @@ from pyspark.sql import functions as F
 
 from pasarlens.llm.common import lean_batches
 
+# A tag that is not closed before the next one is text.  A quoted value may hold "<" if it is not too long: the
+# search for its end must not go to the end of the page from every tag.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|[^<]++|<", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|"
+    r"<(/?)([A-Za-z][^\s/<>]*+)((?:[^<>\"']|\"[^\"<]*+\"|'[^'<]*+'|\"[^\"]{0,1000}+\"|'[^']{0,1000}+')*+)>|[^<]++|<",
+    re.S,
 )
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
@@ -29,10 +35,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title iframe svg math xmp noembed noframes".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure "
-    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol optgroup option p pre search section "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol optgroup option p pre search section select "
     "summary table tbody td tfoot th thead tr ul caption".split()
 )
-LEFT_OUT = frozenset("nav footer aside form button select input menu dialog head object audio video canvas".split())
+LEFT_OUT = frozenset("nav footer aside button select input menu dialog head object audio video canvas".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title script style noscript template".split())
+FOREIGN = frozenset("svg math".split())
+LISTS = frozenset("ul ol dl tr tbody thead table".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPH = frozenset("p pre td th blockquote li dd dt".split())
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -58,6 +67,10 @@ class Element:
     out: bool  # it or something around it is left out
     layout: bool = False  # left out by a name that may be a wrapper's
     base: float = 0.0
+    cause: int = 0  # the element that leaves it out
+    depth: int = 0  # place among the open elements
+    block: int = 0  # the element of the block around it (itself, if it is one)
+    form: int = 0  # the form around it, if any
     points: float = 0.0
     last: int = 0  # number of the last element inside
     text: int = 0
@@ -85,13 +98,16 @@ def _names(attributes: str) -> tuple[str, bool]:
 
 
 class Page:
-    """Elements and blocks of one page."""
+    """Elements and blocks of one page; the time follows the length of the source, however broken it is."""
 
     def __init__(self, source: str):
         self.elements = [Element("#page", -1, False)]
         self.blocks: list[Block] = []
         self.open = [0]
-        self.links = 0
+        self.count: Counter[str] = Counter()  # open elements by tag
+        self.inline = [Counter()]  # of these, the ones within each open block
+        self.left_out = 0  # open elements that are left out by their tag, whatever is inside
+        self.wrappers: set[int] = set()  # forms with an article or main part
         self.block: Block | None = None
         self._read(source)
         while len(self.open) > 1:
@@ -112,15 +128,17 @@ class Page:
             if token.group(1):
                 self._end(tag)
                 continue
-            if tag in RAW:
+            if tag in RAW and not (tag in FOREIGN and token.group(3).rstrip().endswith("/")):
                 lower = source.lower() if lower is None else lower
                 end = lower.find(f"</{tag}", at)
                 stop = lower.find(">", end) if end >= 0 else -1
                 at = stop + 1 if stop >= 0 else len(source)
-                continue
-            self._start(tag, token.group(3))
+            elif tag not in RAW:
+                self._start(tag, token.group(3))
 
     def _text(self, raw: str) -> None:
+        if self.elements[self.open[-1]].tag == "head" and raw.strip():
+            self._close()  # its end tag may be missing
         element = self.elements[self.open[-1]]
         if element.out:
             return
@@ -128,14 +146,15 @@ class Page:
         if self.block is None:
             if not text.strip():
                 return
-            around = next(k for k in reversed(self.open) if k == 0 or self.elements[k].tag in BLOCK)
-            self.block = Block(around)
+            self.block = Block(element.block)
             self.blocks.append(self.block)
         self.block.parts.append(text)
-        if self.links:
+        if self.count["a"]:
             self.block.linked += len(text)
 
     def _start(self, tag: str, attributes: str) -> None:
+        if self.elements[self.open[-1]].tag == "head" and tag not in IN_HEAD:
+            self._close()  # its end tag may be missing
         if tag == "br":
             if self.block is not None:
                 self.block.parts.append(" ")
@@ -151,144 +170,161 @@ class Page:
         around = self.elements[self.open[-1]]
         names, hidden = _names(attributes) if attributes else ("", False)
         out = around.out or hidden or tag in LEFT_OUT
-        inside_article = any(self.elements[k].tag == "article" for k in self.open)
         if not out and tag == "header":
-            out = not inside_article
+            out = not self.count["article"]
         layout = False
         if tag in ("article", "main"):
             other = bool(names and NAMED_OUT.search(names) and not LAYOUT.search(names))
-            out = other or self._behind(self.open)
+            # something around is left out for good, and not just by a wrapper's name
+            behind = around.out and not self.elements[around.cause].layout or self.left_out > 0
+            out = other or behind
             if not out:
-                for k in self.open:
-                    self.elements[k].out = False
+                if around.out:
+                    for k in self.open[self.elements[around.cause].depth :]:
+                        self.elements[k].out = False
+                self.wrappers.add(around.form)
         elif not out and names and tag not in ("html", "body", *HEADING):
-            out = bool(NAMED_OUT.search(names))
-            layout = out and bool(LAYOUT.search(names))
+            named, wrapper = bool(NAMED_OUT.search(names)), bool(LAYOUT.search(names))
+            out = named and not (wrapper and tag == "form")
+            layout = out and wrapper
         base = START.get(tag, 0.0) + (10.0 if names and NAMED_IN.search(names) else 0.0)
-        self.elements.append(Element(tag, self.open[-1], out, layout, base))
-        self.open.append(len(self.elements) - 1)
-        self.links += tag == "a"
+        own = len(self.elements)
+        self.elements.append(
+            Element(
+                tag, self.open[-1], out, layout, base, around.cause if around.out else own, len(self.open),
+                own if tag in BLOCK else around.block, own if tag == "form" else around.form,
+            )
+        )
+        self.open.append(own)
+        self.count[tag] += 1
+        self.left_out += tag in LEFT_OUT or tag == "header"
         if tag in BLOCK:
+            self.inline.append(Counter())
             self.block = None
-
-    def _behind(self, around: list[int]) -> bool:
-        """Is something around left out for good, and not just by a wrapper's name?"""
-        by_name = False
-        for k in around:
-            by_name = by_name or self.elements[k].layout
-            if self.elements[k].out and not by_name:
-                return True
-        return any(self.elements[k].tag in LEFT_OUT or self.elements[k].tag == "header" for k in around)
+        else:
+            self.inline[-1][tag] += 1
 
     def _close(self) -> None:
         element = self.elements[self.open.pop()]
         element.last = len(self.elements) - 1
-        self.links -= element.tag == "a"
+        self.count[element.tag] -= 1
+        self.left_out -= element.tag in LEFT_OUT or element.tag == "header"
         if element.tag in BLOCK:
+            self.inline.pop()
             self.block = None
+        else:
+            self.inline[-1][element.tag] -= 1
 
     def _close_to(self, depth: int) -> None:
         while len(self.open) > depth:
             self._close()
 
     def _close_paragraph(self) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.elements[self.open[depth]].tag
-            if tag in ("p", *HEADING):
-                self._close_to(depth)
-                return
-            if tag in BLOCK:
-                return
+        near = self.elements[self.elements[self.open[-1]].block]
+        if near.tag == "p" or near.tag in HEADING:
+            self._close_to(near.depth)
 
     def _close_item(self, like: set[str]) -> None:
+        if not any(self.count[t] for t in like):
+            return
         stop = {"ul", "ol", "dl", "table", "select", "menu", "div", "section", "article", "body"}
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.elements[self.open[depth]].tag
+        k = self.elements[self.open[-1]].block if not like & {"option"} else self.open[-1]
+        while k > 0:
+            tag = self.elements[k].tag
             if tag in like:
-                self._close_to(depth)
+                self._close_to(self.elements[k].depth)
                 return
             if tag in stop:
                 return
+            k = self.elements[self.elements[k].parent].block
 
     def _end(self, tag: str) -> None:
         if tag in BLOCK:
             self.block = None
-        for depth in range(len(self.open) - 1, 0, -1):
-            open_tag = self.elements[self.open[depth]].tag
-            if open_tag == tag:
-                self._close_to(depth)
-                return
-            if tag not in BLOCK and open_tag in BLOCK:
-                return  # a stray end tag does not reach out of its block
-
-    def _container(self, k: int) -> int:
-        """The block that a paragraph's points go to."""
-        k = self.elements[k].parent if self.elements[k].tag in PARAGRAPH | HEADING else k
-        while k > 0 and (self.elements[k].tag not in BLOCK or self.elements[k].tag in ("ul", "ol", "dl", "tr", "tbody", "thead", "table")):
-            k = self.elements[k].parent
-        return max(k, 0)
+        # a stray end tag does not reach out of its block
+        if not (self.count[tag] if tag in BLOCK else self.inline[-1][tag]):
+            return
+        while self.elements[self.open[-1]].tag != tag:
+            self._close()
+        self._close()
+
+    # -------------------------------------------------------------- scoring
+
+    def _left_blocks(self) -> list[tuple[Block, str]]:
+        """Blocks with their texts, without those of forms that are no wrappers of the page."""
+        blocks = [(b, " ".join("".join(b.parts).split())) for b in self.blocks]
+        inside: Counter[int] = Counter()
+        for b, text in blocks:
+            inside[self.elements[b.element].form] += max(0, len(text) - b.linked)
+        whole = sum(inside.values())
+        wrappers = self.wrappers | {f for f, n in inside.items() if 2 * n > whole} | {0}
+        return [(b, t) for b, t in blocks if self.elements[b.element].form in wrappers]
+
+    def _holders(self) -> list[int]:
+        """Of every element, the container that points of a text in it go to."""
+        found = [0]
+        for k, e in enumerate(self.elements[1:], 1):
+            found.append(k if e.tag in BLOCK and e.tag not in LISTS else found[e.parent])
+        return found
+
+    def _passed_down(self, own: list[bool]) -> list[bool]:
+        """Whether it holds for an element or for something around it."""
+        found = own[:1]
+        for e, mine in zip(self.elements[1:], own[1:]):
+            found.append(mine or found[e.parent])
+        return found
 
     def main_text(self) -> str:
-        texts = [" ".join("".join(b.parts).split()) for b in self.blocks]
+        elements, blocks = self.elements, self._left_blocks()
+        holders = self._holders()
         scored: set[int] = set()
-        for block, text in zip(self.blocks, texts):
-            element = self.elements[block.element]
+        for block, text in blocks:
             share = min(1.0, block.linked / max(1, len("".join(block.parts))))
-            up = block.element
-            while up >= 0:
-                self.elements[up].text += len(text)
-                self.elements[up].linked += int(share * len(text))
-                up = self.elements[up].parent
+            element = elements[block.element]
+            element.text += len(text)
+            element.linked += int(share * len(text))
             if element.tag in HEADING or not text:
                 continue
             points = (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - share)
-            near = self._container(block.element)
-            for k, part in ((near, 1.0), (self._container(self.elements[near].parent) if near else 0, 0.5)):
-                self.elements[k].points += part * points
+            near = holders[element.parent if element.tag in PARAGRAPH else block.element] if block.element else 0
+            for k, part in ((near, 1.0), (holders[elements[near].parent] if near else 0, 0.5)):
+                elements[k].points += part * points
                 scored.add(k)
                 if k == 0:
                     break
-        if not scored:
-            return " ".join(t for b, t in zip(self.blocks, texts) if t and self._in_article(b.element))
+        for e in reversed(elements[1:]):  # children come after their parents
+            elements[e.parent].text += e.text
+            elements[e.parent].linked += e.linked
+        if not scored:  # without any paragraph, headings of an article or main part are all there is
+            inside = self._passed_down([e.tag in ("article", "main") for e in elements])
+            return " ".join(t for b, t in blocks if t and inside[b.element])
 
         def score(k: int) -> float:
-            e = self.elements[k]
+            e = elements[k]
             return (e.base + e.points) * (1 - e.linked / max(1, e.text))
 
         best = max(sorted(scored), key=score)
-        kept = [(best, self.elements[best].last)]
-        if best and self.elements[best].tag not in ("article", "main"):
+        kept = [(best, elements[best].last)]
+        if best and elements[best].tag not in ("article", "main"):
             least = max(10.0, 0.2 * score(best))
-            for k in range(1, len(self.elements)):
-                e = self.elements[k]
-                if e.parent == self.elements[best].parent and k != best and not e.out:
+            for k in range(1, len(elements)):
+                e = elements[k]
+                if e.parent == elements[best].parent and k != best and not e.out:
                     density = e.linked / max(1, e.text)
                     good_text = e.tag == "p" and e.text > 80 and density < 0.25
                     if k in scored and e.points > 0 and score(k) >= least or good_text or e.tag == "h1":
                         kept.append((k, e.last))
+        kept.sort()
+        firsts = [a for a, _ in kept]
+        # inside the container, a list or table that is nearly all links is a menu
+        menu = self._passed_down([k > best and e.tag in ("ul", "ol", "table") and e.linked > 0.8 * e.text for k, e in enumerate(elements)])
         found = []
-        for block, text in zip(self.blocks, texts):
-            if text and any(a <= block.element <= z for a, z in kept) and not self._link_list(block.element, best):
+        for block, text in blocks:
+            at = bisect_right(firsts, block.element) - 1
+            if text and at >= 0 and block.element <= kept[at][1] and not menu[block.element]:
                 found.append(text)
         return " ".join(found)
 
-    def _in_article(self, k: int) -> bool:
-        """Without any paragraph, headings of an article or main part are all there is."""
-        while k >= 0:
-            if self.elements[k].tag in ("article", "main"):
-                return True
-            k = self.elements[k].parent
-        return False
-
-    def _link_list(self, k: int, best: int) -> bool:
-        """Inside the container, a list or table that is nearly all links is a menu."""
-        while k > best:
-            e = self.elements[k]
-            if e.tag in ("ul", "ol", "table") and e.linked > 0.8 * e.text:
-                return True
-            k = e.parent
-        return False
-
 
 def main_text(source: str | None) -> str:
     return Page(source).main_text() if source else ""
@@ -306,7 +342,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """``page, text, n_chars`` for every row of ``pages``; ``page`` is the row itself.
 
     Null and empty sources give an empty text, and so do pages without article text.  Markup that
-    is broken or cut off is read as far as it goes.  Character references are decoded, white space
+    is broken or cut off is read as far as it goes, in time that follows its length, as do very long
+    pages: a tag that is not closed before the next one is text, a head ends with the first element or
+    text that has no place in it, and a form that holds the article or most of the text is a wrapper.  Character references are decoded, white space
     within a block becomes one space, and the blocks are joined by one space in page order.
     Repeated rows give the same text.  An empty table stays empty.
     """

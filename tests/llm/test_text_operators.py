@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import html
+import time
 import random
 import re
 import zlib
@@ -412,3 +413,41 @@ def test_html_query(spark):
     odd = spark.createDataFrame([(1, None, None, "t"), (1, "u", "<p>x</p>", "t")], "page_id long, url string, html string, text string")
     assert sorted(r["text"] for r in extract_pages(odd).select(F.col("text")).collect()) == ["", "x"]
     assert extract_pages(odd.limit(0)).count() == 0
+
+
+SENTENCE = "A sentence of the story, long enough to count, with commas, and words. "
+WRAPPED = {
+    "form around the page": f"<body><nav><a href=/>x</a></nav><form id=aspnetForm action=x><div id=main><article><h1>T</h1><p>{SENTENCE * 3}</p></article></div></form></body>",
+    "form without an article": f"<body><form id=aspnetForm><input name=q><select><option>o</select><div><h1>T</h1><p>{SENTENCE * 3}</p></div></form></body>",
+    "head without an end": f"<html><head><title>x</title><meta a=b><body><article><h1>T</h1><p>{SENTENCE * 3}</p></article>",
+    "head before an element": f"<head><title>x</title><link rel=x><article><h1>T</h1><p>{SENTENCE * 3}</p></article>",
+    "svg that closes itself": f"<article><h1>T</h1><svg width=1 /><p>{SENTENCE * 2}</p><svg/><p>{SENTENCE}</p></article><svg><title>no</title></svg>",
+    "quoted brackets": f"<article title='a<b' data-x=\"1<2>3\"><h1>T</h1><p>{SENTENCE * 3}</p></article>",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_wrapped_pages_keep_their_article(name):
+    assert main_text(WRAPPED[name]) == "T " + " ".join((SENTENCE * 3).split())
+
+
+def test_small_forms_are_left_out():
+    page = f"<article><p>{SENTENCE * 3}</p><form id=f><p>Your name, your mail, your comment, please.</p><button>go</button></form></article>"
+    assert main_text(page) == " ".join((SENTENCE * 3).split())
+    page = f"<form class=search-form><p>{SENTENCE}</p></form><div><p>{SENTENCE * 3}</p></div>"
+    assert main_text(page) == " ".join((SENTENCE * 3).split())
+
+
+BROKEN = ['<p title="x ', "<div>text", "<a ", "<b>", "<b>x<hr>", "</i><b>", "<ul>x", "<div class=sidebar><article>x", "<p>x, y", "<li><tr>", "<!-", "<form><p>x", "<p a='\" ", "<option><dd>", "<header><article>x"]
+
+
+@pytest.mark.parametrize("piece", BROKEN)
+def test_broken_markup_takes_linear_time(piece):
+    def seconds(chars):
+        page = piece * (chars // len(piece))
+        start = time.process_time()
+        main_text(page)
+        return time.process_time() - start
+
+    assert seconds(1_000_000) < 10
+    main_text("<i><div>" + "<b>" * 30_000 + "</i>" * 30_000)
