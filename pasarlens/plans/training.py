@@ -9,12 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pasarlens.models import ranker, recommender, tasks
+from pasarlens.models import neural, ranker, recommender, tasks
 from pasarlens.models.tasks import Result
 from pasarlens.operators.aggregates import matrix_stats
 from pasarlens.operators import prep
 from pasarlens.plans.jobs import at_once
 from pasarlens.sources.model_store import load_model, model_registry, save_model, saved_models, write_registry
+from pasarlens.session import stage
 from pasarlens.sources.sinks import write_matrix
 
 # Registry lines - task, model family, metric shown.
@@ -29,7 +30,7 @@ REGISTRY = {
     "product-click-through-rate": ("CTR Prediction", "Boosted regression trees", "r2"),
     "product-conversion-rate": ("CVR Prediction", "Boosted regression trees", "r2"),
     "search-ctr": ("Search CTR", "Boosted trees", "auc"),
-    "collaborative-filtering": ("Collaborative Filter", "ALS on scores", "mse"),
+    "collaborative-filtering": ("Collaborative Filter", "Neural factors (GMF + MLP)", "mse"),
     "search-ranking": ("Search Ranking", "Boosted trees on NDCG", "ndcg@10"),
 }
 METRIC_NAMES = {"auc": "AUC", "f1_weighted": "F1", "r2": "R2", "mse": "MSE", "ndcg@10": "NDCG@10"}
@@ -41,8 +42,7 @@ class Plan:
 
     max_features: int = 3000
     min_df: int = 5
-    epochs: Sequence[int] = tuple(range(1, 11))
-    rank: int = 64
+    shape: neural.Shape = neural.Shape()
 
 
 def train_recommender(
@@ -57,11 +57,23 @@ def train_recommender(
     return matrix_stats(fitted.matrix.select("user_id", "product_id"))
 
 
+CURVE = "epoch int, train_mse double, val_mse double, rate double"
+
+
 def collaborative_filter(interactions: DataFrame, plan: Plan = Plan()) -> tuple[Result, DataFrame]:
-    train, test = recommender.scored_rows(interactions)
-    model, curve = recommender.mse_curve(train, test, plan.epochs, rank=plan.rank)
-    best = curve.agg({"val_mse": "min"}).first()[0]
-    return Result("collaborative-filtering", model, model.transform(test), {"mse": best}), curve
+    """Scores of users and products by neural factors, and the losses by epoch."""
+    spark = interactions.sparkSession
+
+    def make(work: str) -> Result:
+        train, test = recommender.scored_rows(interactions)
+        model = neural.fit_neural(train, test, f"{work}/epochs", plan.shape)
+        predictions = stage(model.transform(test), "scored")
+        mean = train.agg(F.avg("score_norm")).first()[0]
+        guess = neural.squared_error(test.withColumn("prediction", F.lit(mean)))
+        return Result("collaborative-filtering", model, predictions, {"mse": neural.squared_error(predictions)}, guess={"mse": guess})
+
+    result = tasks.kept("collaborative-filtering", [interactions], plan, make)
+    return result, spark.createDataFrame(result.model.history, CURVE)
 
 
 def save_result(spark: SparkSession, result: Result, root: str, saved_at: str) -> str:

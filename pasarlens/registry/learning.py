@@ -204,14 +204,34 @@ def search_ctr(spark, folder):
 
 
 def cf_scored(spark, folder):
-    result, _ = training.collaborative_filter(interactions(spark, folder))
-    return tested(result, None, 0 <= result.metrics["mse"] < 1)
+    """The error must not lie above that of the mean score of the training rows by over two standard errors."""
+    result, curve = training.collaborative_filter(interactions(spark, folder))
+    first, last = (r["train_mse"] for r in curve.where("epoch in (1, 10)").orderBy("epoch").collect())
+    held = result.metrics["mse"] <= result.guess["mse"] * (1 + 2 * math.sqrt(2 / result.predictions.count()))
+    return result.predictions.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(result.name).alias("task"), F.lit("all").alias("label"), "n_rows",
+        F.lit(last <= first).alias("loss_falls"), F.lit(held).alias("holds_against_guessing"),
+    )
 
 
 def mse_epoch_curve(spark, folder):
-    _, curve = training.collaborative_filter(interactions(spark, folder))
-    fine = (F.col("train_mse") >= 0) & (F.col("val_mse") >= 0) & (F.col("train_mse") < F.col("val_mse"))
-    return curve.select("iterations", fine.alias("fits_training_rows_better"))
+    """The losses by epoch next to the rows they were taken on; the rate is halved after epochs without a better loss."""
+    result, curve = training.collaborative_filter(interactions(spark, folder))
+    lines = curve.orderBy("epoch").collect()  # ten rows
+    rate, best, waited, found = lines[0]["rate"], None, 0, []
+    for r in lines:
+        found.append((r["epoch"], 0 < r["train_mse"] < 1 and 0 < r["val_mse"] < 1, math.isclose(r["rate"], rate)))
+        if best is None or r["val_mse"] < best * (1 - 1e-4):
+            best, waited = r["val_mse"], 0
+        elif waited >= 2:
+            rate, waited = rate / 2, 0
+        else:
+            waited += 1
+    kept = min(r["val_mse"] for r in lines)
+    tests = result.predictions.agg(F.count(F.lit(1)).alias("n_val_rows"))
+    told = spark.createDataFrame(found, "epoch int, losses_in_range boolean, rate_as_it_must_be boolean")
+    best_kept = math.isclose(kept, result.metrics["mse"], rel_tol=1e-6)
+    return told.crossJoin(F.broadcast(tests)).withColumn("best_kept", F.lit(best_kept))  # one row of counts
 
 
 def search_rank(spark, folder):
@@ -555,8 +575,16 @@ QUERIES = [
         ),
     ),
     Query("search_ctr", search_ctr, ask(SL, then=held_out("search-ctr", USABLE_SEARCHES, "log_id", "is_clicked"))),
-    Query("cf_scored", cf_scored, ask(UI, then=held_out("collaborative-filtering", SCORED_EVENTS, "interaction_id", None, "0.1"))),
-    Query("mse_epoch_curve", mse_epoch_curve, "select cast(unnest(range(1, 11)) as int) as iterations, true as fits_training_rows_better from region where r_regionkey = 0"),
+    Query("cf_scored", cf_scored, ask(UI, then=held_out("collaborative-filtering", SCORED_EVENTS, "interaction_id", None, "0.1", verdict="holds_against_guessing"))),
+    Query(
+        "mse_epoch_curve",
+        mse_epoch_curve,
+        ask(
+            UI,
+            then=f"""select cast(unnest(range(1, 11)) as int) as epoch, true as losses_in_range, true as rate_as_it_must_be,
+              true as best_kept, {test_count('collaborative-filtering')} as n_val_rows""",
+        ),
+    ),
     Query("search_rank", search_rank, ask(SL, GROUPED[: GROUPED.rindex("\nselect")], then=GROUPED[GROUPED.rindex("\nselect") + 1 :])),
     Query("als_implicit", als_implicit, ask(STACKED, then=FACTORS)),
     Query("recommend_all", recommend_all, lists_sql(5)),
