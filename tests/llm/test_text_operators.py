@@ -62,6 +62,29 @@ def lines_by_force(rows):
     return out
 
 
+def test_line_index_goes_on(spark, odd, tmp_path):
+    """Two calls on two halves, the second in an index opened again, count as one call; runs are not shuffled."""
+    from tests.conftest import plan_of
+
+    from pasarlens.llm.line_dedup import KEY, LineRuns, add_lines, long_lines, repeated_lines, without_lines
+
+    path = f"{tmp_path}/index"
+    halves = [odd.where("doc_id <= 8"), odd.where("doc_id > 8 or doc_id is null")]
+    for half in halves:
+        runs = LineRuns(spark, path, 5, 2)
+        add_lines(runs, long_lines(half, 40), 3)
+        runs.close()
+    runs = LineRuns(spark, path)
+    assert (runs.min_docs, runs.fanout, runs.version) == (5, 2, 6) and len(runs.runs()) == 2  # 6 batches, merged in twos
+    whole = {tuple(r) for r in without_lines(odd, long_lines(odd, 40), repeated_lines(runs)).select("doc.doc_id", "doc.text", "n_dropped", "kept").collect()}
+    assert whole == {tuple(r) for r in dedup_lines(odd).select("doc.doc_id", "doc.text", "n_dropped", "kept").collect()}
+    news = runs.news(long_lines(odd, 40).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")))
+    for plan, exchanges, joins in ((plan_of(news), 1, len(runs.runs())), (plan_of(runs.merged()), 0, len(runs.runs()) - 1)):
+        plan = plan.split("Initial Plan")[-1]
+        assert plan.count("Exchange") == exchanges and plan.count("SortMergeJoin") == joins and "Broadcast" not in plan
+    runs.close()
+
+
 def test_line_dedup_awkward(odd, none):
     got = dedup_lines(odd, batches=3, fanout=2).select("doc.doc_id", "n_lines", "n_dropped", "kept").collect()
     want = lines_by_force([(i, t) for i, t, _ in awkward(None)])
