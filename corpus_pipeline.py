@@ -55,7 +55,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = packed(docs).withColumns({"doc_id": F.col("doc.doc_id"), "text_hash": F.xxhash64("doc.text")})
     ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"), F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("names"))
-    held = join_stats(rows, ids, ["doc_id"], "times", ["text_hash"], null_safe=True, how="inner").where("names")
+    # one row per id: no bound holds for a broadcast of them
+    ids = stage(ids, "ids").hint("merge")
+    held = join_stats(rows, ids, ["doc_id"], "times", ["text_hash"], null_safe=True, how="inner", ready=True).where("names")
     held = stage(held.select("doc", "doc_id", "times"), "named")
     single = held.where("times = 1").select("doc")
     # ids of several rows: the row counts only with the fingerprint that is named after the id
