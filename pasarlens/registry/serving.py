@@ -13,7 +13,8 @@ from pasarlens.registry.base import REQ, UI, Query, ask
 from pasarlens.registry.joins import best_products
 from pasarlens.registry.tables import UI_AGG
 from pasarlens.session import stage, staging_path
-from pasarlens.streaming.serving import serve_stream
+from pasarlens.sources import keyed_recs
+from pasarlens.streaming.serving import answer_from_store, serve_stream
 
 
 def serve_requests(spark, folder):
@@ -36,6 +37,21 @@ def serve_stream_requests(spark, folder):
     return spark.read.parquet(f"{root}/responses").select("request_id", "status", "response")
 
 
+def serve_from_store(spark, folder):
+    """The same requests from a keyed store: outdated lists first, then the right ones in two batches, merged in between."""
+    asked = fx.requests(spark, folder)
+    depth = parse_requests(asked).agg(F.max("n")).first()[0] or 1
+    lists = stage(recommendation_lists(best_products(spark, folder, depth)), "lists")
+    path = staging_path(spark, "keyed")
+    outdated = lists.select("user_id", F.reverse("recommendations").alias("recommendations"), F.lit("2024-01-01").alias("timestamp"))
+    fresh = lists.withColumn("timestamp", F.lit("2024-02-01"))
+    keyed_recs.put_keyed(outdated, path, 0)
+    keyed_recs.put_keyed(fresh.where(F.xxhash64("user_id") % 2 == 0), path, 1)
+    keyed_recs.compact(spark, path, 2)
+    keyed_recs.put_keyed(fresh.where(F.xxhash64("user_id") % 2 != 0), path, 2)
+    return answer_from_store(asked, path, fx.EVENTS_AS_OF).select("request_id", "status", "response")
+
+
 def unseen_items_of_users(spark, folder):
     """Every product that a user whose id is divisible by 50 has not touched, as rows."""
     rows = stage(fx.user_interactions(spark, folder).select("user_id", "product_id"), "pairs")
@@ -80,6 +96,7 @@ select user_id, null, null, 'User not found' from asked where user_id not in (se
 QUERIES = [
     Query("serve_requests", serve_requests, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
     Query("serve_stream", serve_stream_requests, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
+    Query("serve_from_store", serve_from_store, "with " + ",\n".join([REQ, UI, UI_AGG, SERVED])),
     Query("unseen_items", unseen_items_of_users, ask(UI, then=UNSEEN)),
     Query("history_of_users", history_of_users, "with " + ",\n".join([REQ, UI, HISTORY])),
     Query(

@@ -12,7 +12,7 @@ from pasarlens.operators.prep import encode_ids
 from pasarlens.plans import etl
 from pasarlens.registry.base import PC, PR, SL, TH, UI, UP, Query, ask
 from pasarlens.session import staging_path
-from pasarlens.sources import csv, recs_store, sinks, tables
+from pasarlens.sources import csv, keyed_recs, recs_store, sinks, tables
 from pasarlens.streaming.ingest import ingest_new
 
 CAP = 500
@@ -82,16 +82,19 @@ def incremental_ingest(spark, folder):
     return spark.read.schema(events.schema).parquet(target)
 
 
-def recs_upsert(spark, folder):
-    """Every event puts a one-item list for its user, in two batches; the last one stays."""
-    path = staging_path(spark, "recs")
-    events = fx.user_interactions(spark, folder)
-    puts = events.select(
+def one_item_puts(spark, folder):
+    return fx.user_interactions(spark, folder).select(
         F.col("user_id").cast("string").alias("user_id"),
         F.array("product_id").alias("recommendations"),
         "timestamp",
         (F.col("interaction_type") == "view").alias("viewed"),
     )
+
+
+def recs_upsert(spark, folder):
+    """Every event puts a one-item list for its user, in two batches; the last one stays."""
+    path = staging_path(spark, "recs")
+    puts = one_item_puts(spark, folder)
     for batch, mine in enumerate((puts.where("viewed"), puts.where("not viewed"))):
         recs_store.put_recs(mine, path, batch)
     return recs_store.read_recs(spark, path).withColumn(
@@ -99,6 +102,19 @@ def recs_upsert(spark, folder):
     )
 
 
+def recs_keyed(spark, folder):
+    """As ``recs_upsert``, in a keyed store that is compacted and cleared of what was replaced."""
+    path = staging_path(spark, "keyed")
+    puts = one_item_puts(spark, folder)
+    for batch, mine in enumerate((puts.where("viewed"), puts.where("not viewed"))):
+        keyed_recs.put_keyed(mine, path, batch)
+    keyed_recs.compact(spark, path, 2)
+    keyed_recs.drop_replaced(spark, path)
+    return keyed_recs.read_keyed(spark, path).withColumn(
+        "recommendations", F.concat_ws(",", F.col("recommendations").cast("array<string>"))
+    )
+
+
 def matrix_persist(spark, folder):
     pairs = union_pairs(fx.user_interactions(spark, folder), fx.transaction_history(spark, folder))
     cells = interaction_matrix(pairs)
@@ -133,6 +149,14 @@ cells as (
 select dense_rank() over (order by user_id) - 1 as user_idx,
        dense_rank() over (order by product_id) - 1 as product_idx, n_events from cells"""
 
+LAST_PUT = ask(
+    UI,
+    then="""select cast(user_id as varchar) as user_id, cast(product_id as varchar) as recommendations,
+            "timestamp" from user_interactions
+            qualify row_number() over (partition by user_id
+              order by "timestamp" desc, interaction_type <> 'view' desc) = 1""",
+)
+
 QUERIES = [
     Query(
         "scan_catalog",
@@ -161,13 +185,8 @@ QUERIES = [
     Query(
         "recs_upsert",
         recs_upsert,
-        ask(
-            UI,
-            then="""select cast(user_id as varchar) as user_id, cast(product_id as varchar) as recommendations,
-                    "timestamp" from user_interactions
-                    qualify row_number() over (partition by user_id
-                      order by "timestamp" desc, interaction_type <> 'view' desc) = 1""",
-        ),
+        LAST_PUT,
     ),
+    Query("recs_keyed", recs_keyed, LAST_PUT),
     Query("matrix_persist", matrix_persist, MATRIX_CELLS),
 ]
