@@ -17,7 +17,7 @@ from pasarlens.llm.html import extract_pages, main_text
 from pasarlens.llm.line_dedup import dedup_lines
 from pasarlens.llm.packing import WordIds, best_fit, pack
 from pasarlens.llm.pii import base_spans, candidates, personal_data, written
-from pasarlens.llm.quality import quality_rules, text_facts
+from pasarlens.llm.quality import BUCKETS, fit, gram_buckets, quality_rules, text_facts
 from pasarlens.llm.simhash import close_links, fingerprint, near_duplicates
 from tests.llm.cases import awkward, rows_of, sentence
 
@@ -306,6 +306,24 @@ def test_quality_keeps_good_and_drops_bad(spark):
     assert rows and {r["doc_id"]: r["score"] for r in rows} == {r["doc_id"]: r["score"] for r in Q.op9_quality(spark, folder).collect()}
 
 
+def test_quality_target_is_counted_from_all_good_documents_but_the_held_out(spark, folder):
+    docs, labels = Q.table(spark, folder, "documents"), Q.table(spark, folder, "labels")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and not r["toxic"]} & set(texts)
+    by_id = {}
+    for i, text in texts.items():
+        by_id[i] = sum((np.bincount(g, minlength=BUCKETS) for g in gram_buckets((text or "").encode())), np.zeros(BUCKETS, np.int64))
+    raw = sum(by_id.values())
+    hashes = {r["doc_id"]: (r["half"], r["h"]) for r in docs.selectExpr("doc_id", "pmod(xxhash64('half', doc_id), 2) as half", "xxhash64(doc_id) as h").collect()}
+    odd_half = sorted((hashes[i][1], i) for i in good if hashes[i][0])
+    assert len(odd_half) > 5
+    for held_out in (3, 10_000):
+        held = {i for _, i in odd_half[:held_out]}
+        target = sum(by_id[i] for i in good - held)
+        want = np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+        assert np.allclose(fit(docs, labels, held_out).weights, want)
+
+
 def test_quality_awkward(spark, odd, none):
     labels = spark.createDataFrame([(15, 1, None), (15, 1, 0), (None, 1, 0), (13, None, 0)], "doc_id long, quality int, toxic int")
     rows = quality_rules(odd, labels).select("doc.*", "j.kept", "j.base_failed").collect()
