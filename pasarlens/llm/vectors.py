@@ -21,6 +21,8 @@ from pasarlens.llm.components import connected_components
 from pasarlens.operators.skew import join_stats
 
 TABLES = 4
+# Share of the pairs right on the threshold that no table may bring together, if their bits differ independently.
+MISSED = 0.006
 # A substring has at least so many bits, and more for more vectors: buckets stay small.
 LEAST_BITS = 16
 # The rotation is fitted on at most so many vectors; every vector is indexed.
@@ -53,10 +55,17 @@ def learn(sample: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.concatenate(parts, axis=1)
 
 
-def coded(vector: Column, mean: np.ndarray, projection: np.ndarray) -> Column:
+def tables_for(bits: int, least: float) -> int:
+    """Substrings of ``bits`` bits so that pairs with cosine ``least`` agree in one up to a bit, but for ``MISSED``."""
+    apart = math.acos(least) / math.pi
+    meets = (1 - apart) ** bits + bits * apart * (1 - apart) ** (bits - 1)
+    return max(TABLES, math.ceil(math.log(MISSED) / math.log1p(-meets))) if meets < 1 else TABLES
+
+
+def coded(vector: Column, mean: np.ndarray, projection: np.ndarray, tables: int) -> Column:
     """The substrings of the code of a vector, as longs."""
     dims, bits = projection.shape
-    each = bits // TABLES
+    each = bits // tables
 
     @F.pandas_udf("array<long>")
     def encode(vectors: pd.Series) -> pd.Series:
@@ -64,7 +73,7 @@ def coded(vector: Column, mean: np.ndarray, projection: np.ndarray) -> Column:
         for i, v in enumerate(vectors):
             x[i, : len(v)] = v
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        signs = ((x - mean) @ projection >= 0).reshape(len(x), TABLES, each)
+        signs = ((x - mean) @ projection >= 0).reshape(len(x), tables, each)
         return pd.Series(list(signs @ (1 << np.arange(each, dtype=np.int64))))
 
     return encode(vector)
@@ -74,7 +83,7 @@ def differing(a: str, b: str, k: int) -> Column:
     return F.bit_count(F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k))))
 
 
-def candidate_pairs(codes: DataFrame, bits: int, radius: int) -> DataFrame:
+def candidate_pairs(codes: DataFrame, bits: int, tables: int, radius: int) -> DataFrame:
     """``a, b`` (a < b), each pair once, from ``codes(rep, label, code)``."""
     probes = F.concat(
         F.array(F.lit(0).cast("long")), F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i))
@@ -82,11 +91,11 @@ def candidate_pairs(codes: DataFrame, bits: int, radius: int) -> DataFrame:
     left = codes.select(F.col("rep").alias("a"), F.col("label").alias("la"), F.col("code").alias("ca"), F.posexplode("code").alias("t", "sub"))
     left = left.select("a", "la", "ca", "t", F.explode(F.transform(probes, lambda p: F.col("sub").bitwiseXOR(p))).alias("key"))
     right = codes.select(F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("code").alias("cb"), F.posexplode("code").alias("u", "own"))
-    apart = [differing("ca", "cb", k) for k in range(TABLES)]
+    apart = [differing("ca", "cb", k) for k in range(tables)]
     total = sum(apart[1:], apart[0])
     # a pair that meets in several tables counts in the first of them only
     earlier = F.lit(False)
-    for k in range(TABLES - 1):
+    for k in range(tables - 1):
         earlier = earlier | ((F.col("t") > k) & (apart[k] <= 1))
     met = (F.col("la") == F.col("lb")) & (F.col("t") == F.col("u")) & (F.col("key") == F.col("own"))
     return left.join(right, met & (F.col("a") < F.col("b")) & (total <= radius) & ~earlier).select("a", "b")
@@ -139,18 +148,19 @@ def near_vectors(rows: DataFrame, least: float = 0.98, sample: int = SAMPLE) ->
         fitted[i, : len(row[0])] = row[0]
     fitted /= np.linalg.norm(fitted, axis=1, keepdims=True)
     bits = max(LEAST_BITS, math.ceil(math.log2(n_classes + 1)))
-    mean, projection = learn(fitted, TABLES * bits)
+    tables = tables_for(bits, least)
+    mean, projection = learn(fitted, tables * bits)
     # copies of one id but different vectors: classes are told apart by their own number
     keyed = stage(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
     codes = stage(
-        keyed.select(F.col("cls").alias("rep"), "label", coded(F.col("embedding"), mean, projection).alias("code")), "codes"
+        keyed.select(F.col("cls").alias("rep"), "label", coded(F.col("embedding"), mean, projection, tables).alias("code")), "codes"
     )
     # bits differ with probability angle / pi; this radius lies over five deviations above the mean
     share = math.acos(least) / math.pi
-    radius = math.ceil(TABLES * bits * share + 5.5 * math.sqrt(TABLES * bits * share * (1 - share)))
+    radius = math.ceil(tables * bits * share + 5.5 * math.sqrt(tables * bits * share * (1 - share)))
     vector = keyed.select(F.col("cls"), "embedding")
     links = stage(
-        candidate_pairs(codes, bits, radius)
+        candidate_pairs(codes, bits, tables, radius)
         .join(vector.toDF("a", "va"), "a")
         .join(vector.toDF("b", "vb"), "b")
         .where(cosine(F.col("va"), F.col("vb")) >= least)

@@ -2,6 +2,8 @@ import collections
 import random
 import zlib
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pasarlens.llm import queries as Q
 from pasarlens.llm.components import connected_components
 from pasarlens.llm.mixing import mix, mix_sizes
 from pasarlens.llm.sharding import settle, shard_documents
-from pasarlens.llm.vectors import near_vectors
+from pasarlens.llm.vectors import near_vectors, tables_for
 from tests.conftest import plan_of
 from tests.llm.cases import awkward, rows_of, sentence
 from tests.llm.test_text_operators import WORD, documents
@@ -225,8 +227,19 @@ def test_vectors(spark):
     assert near_vectors(frame.where("label is null")).agg(F.sum("n_links")).first()[0] == 0
 
 
-def test_recall_on_the_threshold(spark):
-    """Pairs right above the threshold, the hardest ones: at least 0.9 of them are found."""
+def test_longer_substrings_have_more_tables():
+    assert tables_for(16, 0.98) == 4
+    apart = math.acos(0.98) / math.pi
+    for bits in (20, 24, 30, 40):
+        meets = (1 - apart) ** bits + bits * apart * (1 - apart) ** (bits - 1)
+        n = tables_for(bits, 0.98)
+        assert (1 - meets) ** n <= 0.006 < (1 - meets) ** (n - 1)
+
+
+@pytest.mark.parametrize("bits", [16, 24, 30])
+def test_recall_on_the_threshold(spark, monkeypatch, bits):
+    """Pairs right above the threshold, the hardest ones: at least 0.95 are found, with the substrings of 10^9 vectors as well."""
+    monkeypatch.setattr("pasarlens.llm.vectors.LEAST_BITS", bits)
     rng = np.random.default_rng(1)
     rows = []
     for k in range(600):
