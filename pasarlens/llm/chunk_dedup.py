@@ -2,7 +2,8 @@
 
 A gear hash rolls over the bytes of a text; its value depends on the last 32 bytes only.  A chunk
 may end behind white space where the hash is small, so chunk borders follow the content: after an
-insertion they fall into the same places again.  Chunks are compared by digest over the corpus.
+insertion they fall into the same places again.  Where there has been no white space for ``RUN`` bytes,
+as in scripts that do not use it, a chunk may end behind any character.  Chunks are compared by digest over the corpus.
 Repeated chunks that follow each other make a passage; passages long enough are removed from all
 documents but the one with the smallest id.
 """
@@ -21,6 +22,11 @@ from pasarlens.llm.common import lean_batches, packed, stage
 
 # One of so many white spaces ends a chunk.
 EVERY = 5
+# Without white space for so many bytes, one of so many characters ends a chunk.
+RUN = 64
+EVERY_CHARACTER = 16
+# A run of characters without white space counts as a word for every so many bytes.
+WORD_BYTES = 12
 # A passage of repeated chunks has at least so many words.
 PASSAGE_WORDS = 16
 GEAR = np.array([int.from_bytes(hashlib.sha256(bytes([b])).digest()[:4], "big") for b in range(256)], np.uint32)
@@ -41,18 +47,35 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 
 def chunk_ends(text: bytes) -> list[int]:
     """Byte ends of the chunks; the last one is the end of the text.  Blocks bound the memory."""
-    limit = np.uint32((1 << 32) // EVERY)
+    behind_white, behind_any = np.uint32((1 << 32) // EVERY), np.uint32((1 << 32) // EVERY_CHARACTER)
     ends: list[int] = []
     for start in range(0, len(text), BLOCK):
-        lead = min(start, 31)
+        lead = min(start, RUN)
         data = np.frombuffer(text[start - lead : start + BLOCK], np.uint8)
-        cut = (WHITE[data] & (gear_hashes(data) < limit))[lead:]
-        ends += (np.flatnonzero(cut) + start + 1).tolist()
+        white, h = WHITE[data], gear_hashes(data)
+        cut = white & (h < behind_white)
+        met = np.cumsum(white)
+        far = np.zeros(len(data), bool)
+        far[RUN:] = met[RUN:] == met[:-RUN]  # none among the last RUN bytes
+        if far.any():
+            follows = np.frombuffer(text[start - lead + 1 : start + BLOCK + 1], np.uint8)
+            whole = np.ones(len(data), bool)  # the next byte does not go on with this character
+            whole[: len(follows)] = follows & 0xC0 != 0x80
+            cut |= far & whole & (h < behind_any)
+        ends += (np.flatnonzero(cut[lead:]) + start + 1).tolist()
     if text and (not ends or ends[-1] < len(text)):
         ends.append(len(text))
     return ends
 
 
+def n_words(chunk: bytes) -> int:
+    """Words of a chunk; a long one counts by its bytes."""
+    words = chunk.split()
+    if not words or max(map(len, words)) < 2 * WORD_BYTES:
+        return len(words)
+    return sum(max(1, len(w) // WORD_BYTES) for w in words)
+
+
 def chunks(text: str | None) -> tuple[list[int], list[int]]:
     """Digests (64 bits, white space at the ends apart) and numbers of words of a text's chunks."""
     data = (text or "").encode("utf-8")
@@ -60,7 +83,7 @@ def chunks(text: str | None) -> tuple[list[int], list[int]]:
     for end in chunk_ends(data):
         chunk = data[start:end].strip()
         digests.append(xxhash.xxh64_intdigest(chunk) - (1 << 63))
-        words.append(len(chunk.split()))
+        words.append(n_words(chunk))
         start = end
     return digests, words
 
@@ -135,7 +158,7 @@ def dedup_chunks(docs: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFra
                 out.append((len(ends), 0, 0, None, "", text))
                 continue
             starts = [0, *ends[:-1]]
-            words = np.array([len(data[a:z].split()) for a, z in zip(starts, ends)], np.int64)
+            words = np.array([n_words(data[a:z]) for a, z in zip(starts, ends)], np.int64)
             repeated, own = words == 0, np.zeros(len(ends), bool)
             partner: dict[int, int] = {}
             for hit in found:

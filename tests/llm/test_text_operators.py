@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from pasarlens.llm import queries as Q
-from pasarlens.llm.chunk_dedup import chunks, dedup_chunks
+from pasarlens.llm.chunk_dedup import chunk_ends, chunks, dedup_chunks
 from pasarlens.llm.html import extract_pages, main_text
 from pasarlens.llm.line_dedup import dedup_lines
 from pasarlens.llm.packing import WordIds, best_fit, pack
@@ -189,6 +189,45 @@ def test_chunks_survive_insertions(spark):
     assert found >= 198
 
 
+def han(rng, n):
+    """``n`` characters without white space, with a full stop now and then."""
+    return "".join("\u3002" if k % 17 == 16 else chr(rng.randrange(0x4E00, 0x9000)) for k in range(n))
+
+
+def test_chunks_without_white_space(spark):
+    rng = random.Random(5)
+    found = 0
+    for _ in range(200):
+        passage = han(rng, 150)
+        left, right = (han(rng, rng.randrange(30, 200)) + passage + han(rng, 60) for _ in range(2))
+        assert "".join(t for t, _ in pieces(left)) == left
+        found += len(set(chunks(left)[0]) & set(chunks(right)[0])) > 0
+    assert found >= 196
+    passage = han(rng, 400)
+    texts = {1: han(rng, 120) + passage + han(rng, 90), 2: han(rng, 75) + passage + han(rng, 130), 3: han(rng, 600)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in dedup_chunks(frame).select("doc.doc_id", "n_dropped", "first_doc_id", "spans", "kept").collect()}
+    assert got[1]["kept"] == texts[1] and got[3]["kept"] == texts[3] and got[2]["first_doc_id"] == 1
+    a, z = map(int, got[2]["spans"].split(":"))
+    assert 75 <= a and z <= 475 and z - a >= 250 and texts[2][:a] + texts[2][z:] == got[2]["kept"]
+
+
+def pieces(text):
+    data, at = text.encode(), 0
+    for end in chunk_ends(data):
+        yield data[at:end].decode(), end  # whole characters
+        at = end
+
+
+def test_chunk_borders_do_not_depend_on_blocks(monkeypatch):
+    rng = random.Random(6)
+    text = " ".join([sentence(rng, 300), han(rng, 500), "x" * 400, sentence(rng, 100), han(rng, 300)]).encode()
+    whole = chunk_ends(text)
+    for block in (64, 97, 1000):
+        monkeypatch.setattr("pasarlens.llm.chunk_dedup.BLOCK", block)
+        assert chunk_ends(text) == whole
+
+
 def test_chunk_dedup(spark, folder, odd, none):
     texts = dict(documents(spark, folder))
     rows = Q.op5_substring_dedup(spark, folder).collect()
