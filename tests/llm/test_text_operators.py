@@ -363,6 +363,27 @@ def test_quality_target_is_counted_from_all_good_documents_but_the_held_out(spar
         assert np.allclose(fit(docs, labels, held_out).weights, want)
 
 
+def test_quality_target_and_threshold_come_from_all_good_documents(spark, folder):
+    docs, labels = Q.table(spark, folder, "documents"), Q.table(spark, folder, "labels")
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and not r["toxic"]}
+    by_id, rows = {}, []
+    for r in docs.collect():
+        own = sum((np.bincount(g, minlength=BUCKETS) for g in gram_buckets((r["text"] or "").encode())), np.zeros(BUCKETS, np.int64))
+        by_id[r["doc_id"]] = own
+        n, *_, repeated = text_facts(r["text"])
+        rows += [r["doc_id"]] if r["doc_id"] in good and n >= 50 and 2 * repeated <= n else []
+    raw, target = sum(by_id.values()), sum(by_id[i] for i in good if i in by_id)
+
+    def ratio(counts):
+        return np.log((counts + 1) / (counts.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+
+    scores = [float((by_id[i] * ratio(target - by_id[i])).sum() / by_id[i].sum()) for i in rows]
+    low, middle = np.quantile(scores, [0.001, 0.5])
+    model = fit(docs, labels)
+    assert len(scores) > 10 and np.allclose(model.weights, ratio(target))
+    assert np.isclose(model.threshold, 2 * low - middle)
+
+
 def test_quality_awkward(spark, odd, none):
     labels = spark.createDataFrame([(15, 1, None), (15, 1, 0), (None, 1, 0), (13, None, 0)], "doc_id long, quality int, toxic int")
     rows = quality_rules(odd, labels).select("doc.*", "j.kept", "j.base_failed").collect()
