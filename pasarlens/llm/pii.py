@@ -3,17 +3,17 @@
 Fixed patterns give the base spans of emails, addresses, cards and phones.  Generators with a high
 recall propose further, overlapping spans: any chain of digits and the windows of whole digit groups
 inside it, spelled-out emails, addresses with other separators.  Format and context features of a candidate go to gradient-boosted trees, trained
-on a bounded sample of candidates whose label the patterns give: a base span is positive, a chain
+on all candidates whose label the patterns give: a base span is positive, a chain
 that cannot be of its kind is negative, and one of the right shape that only fails a check (the
-Luhn sum, the leading plus) is left out of the training.  The threshold is set on candidates the
-trees have not seen.  Base spans always stay.
+Luhn sum, the leading plus) is left out of the training.  The threshold is set on a fifth of them that
+the trees have not seen.  Base spans always stay.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -23,10 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pasarlens.llm.common import lean_batches, stage
+from pasarlens.operators.ranking import running_total
 
 KINDS = ("email", "ip", "card", "phone")
-# At most so many labelled candidates train the trees; a fifth of them calibrates the threshold.
-TRAINING_ROWS = 20_000
 TREES = 20
 DEPTH = 4
 # Precision the threshold must reach on held-out candidates.
@@ -249,34 +248,36 @@ def _as_arrays(model) -> tuple[np.ndarray, ...]:
     return np.array(model.treeWeights), feature, limit, left, right, value
 
 
-def train(found: DataFrame, rows: int = TRAINING_ROWS) -> Trees | None:
-    """Trees and threshold from ``found(cands)``; none if the candidates are all of one label."""
+def train(found: DataFrame) -> Trees | None:
+    """Trees and threshold from ``found(cands)``; none if the candidates are all of one label.
+
+    Four fifths of all labelled candidates train the trees, the others calibrate the threshold.
+    """
     every = found.select(F.explode("cands").alias("c"), "place").where("c.label >= 0")
-    mixed = F.xxhash64("place", "c.kind", "c.start", "c.end")
-    sample = stage(
-        every.select(F.col("c.label").cast("double").alias("label"), F.col("c.f").alias("f"), mixed.alias("h")).orderBy("h", "label").limit(rows),
-        "sample",
-    )
-    held = F.pmod("h", F.lit(5)) == 0
-    fitting = stage(sample.where(~held).select("label", array_to_vector("f").alias("features")), "sample")
+    held = F.pmod(F.xxhash64("place", "c.kind", "c.start", "c.end"), F.lit(5)) == 0
+    labelled = stage(every.select(F.col("c.label").cast("double").alias("label"), F.col("c.f").alias("f"), held.alias("held")), "labelled")
+    fitting = stage(labelled.where("NOT held").select("label", array_to_vector("f").alias("features")), "labelled")
     if fitting.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(fitting)
     trees = Trees(*_as_arrays(model), threshold=0.0)
-    tested = sample.where(held).select("label", "f").collect()
-    if not tested:
+
+    @F.pandas_udf("double")
+    def margin(features: pd.Series) -> pd.Series:
+        return pd.Series(trees.margin(np.array(features.tolist(), float)) if len(features) else [], dtype="float64")
+
+    below = (-margin("f")).alias("below")
+    tested = labelled.where("held").select(below, F.col("label").cast("long").alias("label")).groupBy("below")
+    tested = stage(tested.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")), "labelled")
+    if tested.isEmpty():
         return None
-    labels = np.array([r["label"] for r in tested])
-    margins = trees.margin(np.array([r["f"] for r in tested]))
-    order = np.argsort(-margins, kind="stable")
-    right = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
-    enough = np.flatnonzero(right >= PRECISION)
-    threshold = float(margins[order[enough[-1]]]) if len(enough) else np.inf
+    enough = F.col("cum_right") >= PRECISION * F.col("cum_n")
+    lowest = running_total(tested, "below", ["n", "right"]).where(enough).agg(F.max("below")).first()[0]
     # not below even odds, however well the held-out part looks
-    return Trees(*_as_arrays(model), threshold=max(threshold, 0.0))
+    return replace(trees, threshold=np.inf if lowest is None else max(-lowest, 0.0))
 
 
-def personal_data(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
+def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base, spans`` for every row of ``docs``.
 
     ``base`` and ``spans`` list ``kind:start:end`` in code points, end exclusive, by kind and start:
@@ -305,7 +306,7 @@ def personal_data(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFr
         lean_batches(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("place"), find("text").alias("p")).select("doc_id", "place", "p.*"),
         "candidates",
     )
-    trees = train(found, training_rows)
+    trees = train(found)
 
     @F.pandas_udf("string")
     def select(base: pd.Series, lists: pd.Series) -> pd.Series:

@@ -16,7 +16,7 @@ from pasarlens.llm.chunk_dedup import chunk_ends, chunks, dedup_chunks
 from pasarlens.llm.html import extract_pages, main_text
 from pasarlens.llm.line_dedup import dedup_lines
 from pasarlens.llm.packing import WordIds, best_fit, pack
-from pasarlens.llm.pii import base_spans, candidates, personal_data, written
+from pasarlens.llm.pii import base_spans, candidates, personal_data, train, written
 from pasarlens.llm.quality import BUCKETS, fit, gram_buckets, quality_rules, text_facts
 from pasarlens.llm.simhash import close_links, fingerprint, near_duplicates
 from tests.llm.cases import awkward, rows_of, sentence
@@ -444,6 +444,17 @@ def test_pii_query(spark):
     assert added > 0 and clean == 0
 
 
+def test_pii_trees_see_all_candidates(spark):
+    rows = spark.range(24_000).selectExpr("id as place", "xxhash64(id, 0, 0, 1) as h")
+    border = sorted(r["h"] for r in rows.collect())[20_000]
+    label = f"if(h < {border}, 1, 0)"
+    cand = f"named_struct('kind', 0, 'start', 0, 'end', 1, 'label', {label}, 'f', array_repeat(double({label}), 27))"
+    trees = train(rows.selectExpr("place", f"array({cand}) as cands"))
+    assert trees is not None
+    margins = trees.margin(np.repeat([[0.0], [1.0]], 27, axis=1))
+    assert margins[0] < 0 <= trees.threshold <= margins[1]
+
+
 def test_pii_awkward(odd, none):
     rows = personal_data(odd).collect()
     assert len(rows) == odd.count()
