@@ -299,3 +299,36 @@ def ndcg_of(scored, gains, k=3):
         best = (np.sort(g)[::-1][:k] * d[: len(g)]).sum()
         values.append((g[:k] * d[: len(g)]).sum() / best if best else 1.0)
     return float(np.mean(values))
+
+
+@pytest.mark.parametrize("params", [B.Params(depth=5, min_rows=3), B.Params(depth=4, l1=0.2, rows=0.7, columns=0.5), B.Params(depth=6, leaves=9)], ids=["plain", "drawn", "leaves"])
+@pytest.mark.parametrize("classes", [1, 3])
+def test_columns_give_the_trees_of_cells(monkeypatch, params, classes):
+    monkeypatch.setattr(B, "CACHE_ROWS", 64)
+    rng = np.random.default_rng(5)
+    n, params = 500, B.Params(**{**params.__dict__, "rounds": 6, "step": 0.3})
+    x = np.stack([rng.normal(size=n), rng.integers(-2, 3, n), np.zeros(n), rng.normal(size=n) * rng.integers(0, 2, n)], axis=1)
+    bins = B.Bins([sorted(set(np.quantile(c, np.arange(1, 32) / 32)))[:-1] for c in x.T])
+    y = (x[:, 0] > 0).astype(int) + (x[:, 1] > x[:, 3])
+    rows = []
+    for i, v in enumerate(x):
+        c = bins.entries(np.arange(4), v)
+        cells = [int(e) for e in c[c - bins.first != bins.zero]]
+        rows.append({"uid": i, "query": 0, "y": float(y[i]), "w": 1.0 + i % 2, "held": i % 7 == 0, "entries": cells})
+    kinds = pa.schema([("uid", pa.int64()), ("query", pa.int64()), ("y", pa.float64()), ("w", pa.float64()), ("held", pa.bool_()), ("entries", pa.list_(pa.int32()))])
+    parts = [pa.RecordBatch.from_pylist(rows[a : a + 150], kinds) for a in range(0, n, 150)]
+    objective = O.Softmax(3) if classes == 3 else O.Squared()
+    told = [list(B.boosted(kind(iter(parts), bins, [0.0] * objective.width, objective, params), bins, params)) for kind in (B.InColumns, B.InTask)]
+    assert len(told[0]) == len(told[1]) > 3
+    for (a, *one), (b, *two) in zip(*told):
+        assert [(t.feature, t.cut) for t in a] == [(t.feature, t.cut) for t in b]
+        assert all(np.allclose(s.value, t.value) for s, t in zip(a, b)) and np.allclose(one, two)
+
+
+def test_few_features_need_no_passes(spark, monkeypatch):
+    monkeypatch.setattr(B, "PART_CELLS", 100)
+    x = np.random.default_rng(6).normal(size=(200, 4))
+    rows = frame(spark, x, x[:, 0] > 0)
+    assert B.binned(rows, "y", O.Logistic()).parts == 1
+    monkeypatch.setattr(B, "TASK_CELLS", 799)
+    assert B.binned(rows, "y", O.Logistic()).parts > 1
