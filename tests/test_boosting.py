@@ -332,3 +332,42 @@ def test_few_features_need_no_passes(spark, monkeypatch):
     assert B.binned(rows, "y", O.Logistic()).parts == 1
     monkeypatch.setattr(B, "TASK_CELLS", 799)
     assert B.binned(rows, "y", O.Logistic()).parts > 1
+
+
+@pytest.mark.parametrize(
+    "params", [B.Params(depth=5, min_rows=3), B.Params(depth=4, l1=0.2, rows=0.7, columns=0.5), B.Params(depth=6, leaves=9, min_rows=20, l2=0.0)], ids=["plain", "drawn", "rows"]
+)
+@pytest.mark.parametrize("classes", [1, 3])
+def test_cells_by_leaf_give_the_trees_of_cells(monkeypatch, params, classes):
+    monkeypatch.setattr(B, "CACHE_ROWS", 64)
+    rng = np.random.default_rng(8)
+    n, width, params = 400, 90, B.Params(**{**params.__dict__, "rounds": 6, "step": 0.3})
+    x = rng.normal(size=(n, width)) * (rng.uniform(size=(n, width)) < rng.uniform(0.0, 0.4, width))
+    x[:, 0], x[5] = -np.abs(rng.normal(size=n)), 0.0  # a column without zeros but one, a row without cells
+    bins = B.Bins([sorted({0.0, *np.quantile(c, np.arange(1, 16) / 16)})[:-1] for c in x.T])
+    y = (x[:, 0] > -0.6).astype(int) + (x[:, 1] + x[:, 2:12].sum(axis=1) > 0)
+    rows = []
+    for i, v in enumerate(x):
+        c = bins.entries(np.arange(width), v)
+        rows.append({"uid": i, "query": 0, "y": float(y[i]), "w": 1.0 + i % 2, "held": i % 7 == 0, "entries": [int(e) for e in c[c - bins.first != bins.zero]]})
+    kinds = pa.schema([("uid", pa.int64()), ("query", pa.int64()), ("y", pa.float64()), ("w", pa.float64()), ("held", pa.bool_()), ("entries", pa.list_(pa.int32()))])
+    parts = [pa.RecordBatch.from_pylist(rows[a : a + 150], kinds) for a in range(0, n, 150)]
+    objective = O.Softmax(3) if classes == 3 else O.Squared()
+    told = [list(B.boosted(kind(iter(parts), bins, [0.0] * objective.width, objective, params), bins, params)) for kind in (B.InCells, B.InTask)]
+    assert len(told[0]) == len(told[1]) > 3 and any(len(t.feature) > 3 for t in told[0][1][0])
+    for (a, *one), (b, *two) in zip(*told):
+        assert [(t.feature, t.cut) for t in a] == [(t.feature, t.cut) for t in b]
+        assert all(np.allclose(s.value, t.value) for s, t in zip(a, b)) and np.allclose(one, two)
+
+
+def test_texts_need_no_passes(spark, monkeypatch):
+    monkeypatch.setattr(B, "PART_CELLS", 1000)
+    x = np.random.default_rng(9).normal(size=(60, 100))
+    rows = frame(spark, x, x[:, 0] > 0)
+    assert B.binned(rows, "y", O.Logistic()).parts == 1
+    params = B.Params(rounds=3, depth=3, min_rows=5)
+    one, many = B.fit(rows, "y", O.Logistic(), params), B.fit(rows, "y", O.Logistic(), params, part_cells=1000)
+    for (a,), (b,) in zip(one.rounds, many.rounds, strict=True):
+        assert (a.feature, a.cut) == (b.feature, b.cut) and np.allclose(a.value, b.value)
+    monkeypatch.setattr(B, "TASK_CELLS", 5000)
+    assert B.binned(rows, "y", O.Logistic()).parts > 1
