@@ -39,3 +39,21 @@ def test_filters(spark):
     df = spark.createDataFrame([(0,), (1,), (5,), (6,), (None,)], "r int")
     assert [r[0] for r in clean.between(df, "r", 1, 5).collect()] == [1, 5]
     assert [r[0] for r in clean.positive(df, "r").collect()] == [1, 5, 6]
+
+
+def test_staged_dedup_moves_only_rows_with_copies(spark):
+    single = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], "k int, v string")
+    assert "Exchange" not in plan_of(clean.staged_dedup(single, ["k"], "single"))
+    rows = [(1, "b"), (1, "a"), (None, "z"), (None, "y"), (2, None), (2, "c"), (3, "d"), (4, None)]
+    df = spark.createDataFrame(rows, "k int, v string")
+    want = sorted(map(tuple, clean.dedup(df, ["k"]).collect()), key=str)
+    for most in (None, 0):
+        got = clean.staged_dedup(df, ["k"], "copies", most=most)
+        assert sorted(map(tuple, got.collect()), key=str) == want and got.columns == df.columns
+
+
+def test_staged_dedup_by_two_keys_and_an_order(spark):
+    rows = [(1, 1, 5, "a"), (1, 1, 4, "b"), (1, 2, 3, "c"), (1, None, 2, "d"), (1, None, 1, "e"), (None, None, 0, "f")]
+    df = spark.createDataFrame(rows, "a int, b int, o int, v string")
+    got = clean.staged_dedup(df, ["a", "b"], "two", ["o"])
+    assert sorted(r["v"] for r in got.collect()) == ["b", "c", "e", "f"]
