@@ -371,3 +371,34 @@ def test_texts_need_no_passes(spark, monkeypatch):
         assert (a.feature, a.cut) == (b.feature, b.cut) and np.allclose(a.value, b.value)
     monkeypatch.setattr(B, "TASK_CELLS", 5000)
     assert B.binned(rows, "y", O.Logistic()).parts > 1
+
+
+@pytest.mark.parametrize("weighted", [False, True], ids=["even", "weighted"])
+def test_few_bins_are_summed_together(monkeypatch, weighted):
+    monkeypatch.setattr(B, "CACHE_ROWS", 256)
+    rng = np.random.default_rng(10)
+    n, sizes = 6000, [2, 40, 3, 1, 16, 5]
+    bins = B.Bins([list(map(float, range(s - 1))) for s in sizes])
+    x = np.stack([rng.integers(0, s, n) for s in sizes], axis=1)
+    y = x[:, 1] % 7 + 2.0 * x[:, 0] * x[:, 4] + rng.normal(size=n)
+    cells = [[int(c) for c in (bins.first + v)[v != bins.zero]] for v in x]
+    batch = pa.RecordBatch.from_pydict({
+        "uid": np.arange(n), "query": np.zeros(n, int), "y": y, "w": 1.0 + weighted * rng.integers(0, 2, n),
+        "held": np.arange(n) % 9 == 0, "entries": pa.array(cells, pa.list_(pa.int32())),
+    })
+    params, objective = B.Params(rounds=4, depth=5, rows=0.8, columns=0.8, min_rows=5, step=0.3), O.Squared()
+    rows = B.InColumns(iter([batch]), bins, [0.0], objective, params)
+    assert len(rows.groups(1)) < len(rows.groups(1_000)) == len(sizes)
+    rows.advance([], 0)
+    rows.node[0] = rng.integers(0, 4, n)
+    allowed = np.array([True, True, False, True, True, True])
+    sums = rows.cells(0, {1: 1, 3: 0}, allowed, 4)
+    for node, place in ((1, 1), (3, 0)):
+        for f in range(len(sizes)):
+            mine = rows.drawn & (rows.node[0] == node) & allowed[f]
+            for got, weight in zip(sums[:, f, place], (rows.g[:, 0], rows.h[:, 0], np.ones(n))):
+                assert np.allclose(got, np.bincount(x[mine, f], weight[mine], minlength=len(got)))
+    told = [list(B.boosted(kind(iter([batch]), bins, [0.0], objective, params), bins, params)) for kind in (B.InColumns, B.InTask)]
+    for (a, *one), (b, *two) in zip(*told, strict=True):
+        assert [(t.feature, t.cut) for t in a] == [(t.feature, t.cut) for t in b]
+        assert np.allclose(one, two)
