@@ -402,3 +402,71 @@ def test_few_bins_are_summed_together(monkeypatch, weighted):
     for (a, *one), (b, *two) in zip(*told, strict=True):
         assert [(t.feature, t.cut) for t in a] == [(t.feature, t.cut) for t in b]
         assert np.allclose(one, two)
+
+
+@pytest.mark.parametrize("width", [4, 90], ids=["columns", "cells"])
+@pytest.mark.parametrize("classes", [1, 3])
+def test_processes_of_a_task_give_its_trees(width, classes):
+    rng = np.random.default_rng(11)
+    n, params = 700, B.Params(rounds=6, depth=5, min_rows=3, rows=0.8, columns=0.7, step=0.3)
+    x = rng.normal(size=(n, width)) * (rng.uniform(size=(n, width)) < rng.uniform(0.1, 0.6, width))
+    x[3] = 0.0
+    bins = B.Bins([sorted({0.0, *np.quantile(c, np.arange(1, 16) / 16)})[:-1] for c in x.T])
+    y = (x[:, 0] > 0).astype(int) + (x[:, 1] > x[:, 3])
+    rows = []
+    for i, v in enumerate(x):
+        c = bins.entries(np.arange(width), v)
+        rows.append({"uid": i, "query": 0, "y": float(y[i]), "w": 1.0 + i % 2, "held": i % 7 == 0, "entries": [int(e) for e in c[c - bins.first != bins.zero]]})
+    kinds = pa.schema([("uid", pa.int64()), ("query", pa.int64()), ("y", pa.float64()), ("w", pa.float64()), ("held", pa.bool_()), ("entries", pa.list_(pa.int32()))])
+    parts = [pa.RecordBatch.from_pylist(rows[a : a + 150], kinds) for a in range(0, n, 150)]
+    objective = O.Softmax(3) if classes == 3 else O.Squared()
+    given = bins, [0.0] * objective.width, objective, params
+    alone, shared = (B.InColumns, B.SharedColumns) if width == 4 else (B.InCells, B.SharedCells)
+    place = shared(iter(parts), *given, 3)
+    assert len(place.team.processes) == 3
+    told = [list(B.boosted(rows, bins, params)) for rows in (place, alone(iter(parts), *given))]
+    place.close()
+    assert len(told[0]) == len(told[1]) > 3 and any(len(t.feature) > 3 for t in told[0][1][0])
+    for (a, *one), (b, *two) in zip(*told):
+        assert [(t.feature, t.cut) for t in a] == [(t.feature, t.cut) for t in b]
+        assert all(np.allclose(s.value, t.value) for s, t in zip(a, b)) and np.allclose(one, two)
+
+
+def test_a_large_table_is_trained_on_by_processes(spark, monkeypatch):
+    x = np.random.default_rng(12).normal(size=(300, 4))
+    ready = B.binned(frame(spark, x, x[:, 0] + x[:, 1] > 0), "y", O.Logistic())
+    params = B.Params(rounds=4, depth=3)
+    one = B.train(ready, O.Logistic(), params)
+    monkeypatch.setattr(B, "HELPER_CELLS", (400, 400))
+    made = []
+    monkeypatch.setattr(B, "cores", lambda session: made.append(1) or 3)
+    many = B.train(ready, O.Logistic(), params)
+    assert ready.cells == 1200 and made
+    for (a,), (b,) in zip(one.rounds, many.rounds, strict=True):
+        assert (a.feature, a.cut) == (b.feature, b.cut) and np.allclose(a.value, b.value)
+
+
+def test_what_fails_in_a_process_fails_the_task():
+    from pasarlens.models.team import Team
+
+    class Member:
+        def __init__(self, batches):
+            self.rows = sum(b.num_rows for b in batches)
+
+        def counted(self):
+            return self.rows
+
+        def broken(self):
+            raise ValueError("told by the member")
+
+    batch = pa.RecordBatch.from_pydict({"x": list(range(7))})
+    team = Team(3, lambda number, batches: Member(batches))
+    team.given([batch, batch], dealt=True)
+    assert sum(team.each("counted")) == 14
+    with pytest.raises(RuntimeError, match="told by the member"):
+        team.each("broken")
+    team.close()
+    everyone = Team(2, lambda number, batches: Member(batches))
+    everyone.given([batch], dealt=False)
+    assert everyone.each("counted") == [7, 7]
+    everyone.close()
