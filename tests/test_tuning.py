@@ -158,3 +158,19 @@ def test_unseen_items_of_many_users(spark, block):
     assert unseen_of_users(df.limit(0), df, block).count() == 0
     with pytest.raises(ValueError):
         unseen_of_users(df, df, 0)
+
+
+def test_long_trainings_start_first(spark, monkeypatch):
+    started = []
+
+    def told(session, jobs):
+        started.extend(jobs)
+        return {name: name for name in jobs}
+
+    monkeypatch.setattr(T, "at_once", told)
+    monkeypatch.setattr(T, "fold_scores", lambda ready, fitted, metric: [10.0 * int(model) + fold for fold, model in fitted])
+    ready = B.Binned(spark.range(1), B.Bins([[0.0]]), 1, [])
+    score = T.cross_validated(ready, O.Logistic(), B.Params(rounds=400), "auc", 2)
+    values = score([{"depth": 3}, {"depth": 9}, {"depth": 6}, {"depth": 9, "step": 0.5}])
+    assert started == ["2", "3", "4", "5", "0", "1", "6", "7"]
+    assert values == [(10 * 2 * i + 10 * (2 * i + 1) + 1) / 2 for i in range(4)]  # the scores stay with their parameters
